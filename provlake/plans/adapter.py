@@ -6,6 +6,8 @@ table is a plain select over its inputs, so it grows with them.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,12 +16,42 @@ from provlake.model import RunLog, quote
 LEVEL = 10 ** 12
 
 
-class Tables:
+class _Folder:
+    """The tables of one folder; each file's footer is read once."""
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name.startswith("_"):
+            raise AttributeError(name)
+        frame = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, frame)
+        return frame
+
+
+_FOLDERS: dict[tuple[str, str], _Folder] = {}
+
+
+def Tables(spark: SparkSession, folder: str) -> _Folder:
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _FOLDERS:
+        _FOLDERS[key] = _Folder(spark, folder)
+    return _FOLDERS[key]
+
+
+def plan_once(fn):
+    """Build the plan of an adapter table once per folder."""
+    made: dict = {}
+
+    @wraps(fn)
+    def get(t, *args):
+        if args:
+            return fn(t, *args)
+        if t not in made:
+            made[t] = fn(t)
+        return made[t]
+    return get
 
 
 def text(c) -> Column:
@@ -35,26 +67,30 @@ def path_of(level: str, key, ext: str = "csv") -> Column:
     return F.concat(F.lit(f"work/{level}/"), text(key), F.lit(f".{ext}"))
 
 
-def customers(t: Tables) -> DataFrame:
+@plan_once
+def customers(t: _Folder) -> DataFrame:
     nation = t.nation.select("n_nationkey", "n_regionkey")
     return t.customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", "c_mktsegment", "n_nationkey", "n_regionkey",
         F.concat(F.lit("region-"), text("n_regionkey")).alias("session_id"))
 
 
-def orders(t: Tables) -> DataFrame:
+@plan_once
+def orders(t: _Folder) -> DataFrame:
     status = F.when((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P"), "FAILED") \
         .when(F.col("o_orderstatus") == "O", "CACHED").otherwise("COMPLETED")
     return t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", status.alias("status")) \
         .join(customers(t), F.col("o_custkey") == F.col("c_custkey"))
 
 
-def nations(t: Tables) -> DataFrame:
+@plan_once
+def nations(t: _Folder) -> DataFrame:
     return t.nation.select("n_nationkey", "n_name", "n_regionkey",
                            F.concat(F.lit("region-"), text("n_regionkey")).alias("session_id"))
 
 
-def regions(t: Tables) -> DataFrame:
+@plan_once
+def regions(t: _Folder) -> DataFrame:
     return t.region.select("r_regionkey", "r_name", F.concat(F.lit("region-"), text("r_regionkey")).alias("session_id"))
 
 
@@ -67,7 +103,8 @@ def _task(level: str, rank: int, key: str, process: Column, tag: Column, status:
         (F.lit(rank * LEVEL) + F.col(key)).cast("bigint").alias("seq")]
 
 
-def tasks(t: Tables) -> DataFrame:
+@plan_once
+def tasks(t: _Folder) -> DataFrame:
     done = F.lit("COMPLETED")
     return orders(t).select(*_task("order", 1, "o_orderkey", F.concat(F.lit("TRADE:ORDERS:"), "o_orderpriority"),
                                    F.substring("o_orderpriority", 1, 1), F.col("status"))) \
@@ -77,13 +114,14 @@ def tasks(t: Tables) -> DataFrame:
         .unionByName(regions(t).select(*_task("region", 4, "r_regionkey", F.lit("TRADE:REGIONS:ROLLUP"), F.lit("1"), done)))
 
 
-def order_parts(t: Tables, lines: DataFrame | None = None) -> DataFrame:
+def order_parts(t: _Folder, lines: DataFrame | None = None) -> DataFrame:
     """Distinct (order, part); pairs spread a hot order or part over many tasks."""
     lines = t.lineitem if lines is None else lines
     return lines.select("l_orderkey", "l_partkey").distinct()
 
 
-def task_inputs(t: Tables, lines: DataFrame | None = None) -> DataFrame:
+@plan_once
+def task_inputs(t: _Folder, lines: DataFrame | None = None) -> DataFrame:
     def rows(df, level, key, path):
         return df.select("session_id", F.concat(F.lit(level), text(key)).alias("task_hash"),
                          F.substring_index(path, "/", -1).alias("stage_name"), path.alias("path"))
@@ -97,7 +135,8 @@ def task_inputs(t: Tables, lines: DataFrame | None = None) -> DataFrame:
         .unionByName(rows(regions(t), "r", "r_regionkey", path_of("collated", "r_regionkey", "yml")))
 
 
-def task_outputs(t: Tables) -> DataFrame:
+@plan_once
+def task_outputs(t: _Folder) -> DataFrame:
     def rows(df, level, key, path):
         return df.select("session_id", F.concat(F.lit(level), text(key)).alias("task_hash"), path.alias("path"),
                          F.lit(0).alias("ord"))
@@ -107,7 +146,8 @@ def task_outputs(t: Tables) -> DataFrame:
         .unionByName(rows(regions(t), "r", "r_regionkey", path_of("region", "r_regionkey")))
 
 
-def publishes(t: Tables) -> DataFrame:
+@plan_once
+def publishes(t: _Folder) -> DataFrame:
     def rows(df, level, rank, key, ext="csv"):
         return df.select("session_id", path_of(level, key, ext).alias("source"),
                          F.concat(F.lit(f"results/{level}/"), text(key), F.lit(f".{ext}")).alias("target"),
@@ -118,7 +158,8 @@ def publishes(t: Tables) -> DataFrame:
         .unionByName(rows(regions(t), "collated", 5, "r_regionkey", "yml"))
 
 
-def runs(t: Tables) -> DataFrame:
+@plan_once
+def runs(t: _Folder) -> DataFrame:
     """One successful run per region, and a failed one per nation that must leave no trace."""
     def rows(df, run_name, success):
         return df.select(
@@ -133,12 +174,14 @@ def runs(t: Tables) -> DataFrame:
                           F.lower("n_name"), False))
 
 
-def workflow_outputs(t: Tables) -> DataFrame:
+@plan_once
+def workflow_outputs(t: _Folder) -> DataFrame:
     return regions(t).select("session_id", F.lit("summary").alias("name"), path_of("region", "r_regionkey").alias("path")) \
         .unionByName(regions(t).select("session_id", F.lit("label").alias("name"), F.lit(None).cast("string").alias("path")))
 
 
-def params(t: Tables) -> DataFrame:
+@plan_once
+def params(t: _Folder) -> DataFrame:
     """Per customer of a region: a file path, a plain number, a list and an empty value."""
     c = customers(t)
     def rows(name, value, kind):
@@ -152,7 +195,8 @@ def params(t: Tables) -> DataFrame:
         .unionByName(rows("empty_", F.lit(None).cast("string"), "null"))
 
 
-def processes(t: Tables) -> DataFrame:
+@plan_once
+def processes(t: _Folder) -> DataFrame:
     """Distinct processes with their annotations: customers' are annotated, some wrongly."""
     p = tasks(t).select("session_id", "process", F.substring_index("process", ":", -1).alias("leaf")).distinct()
     ext = F.when(F.startswith("process", F.lit("TRADE:CUSTOMERS:")), F.create_map(
@@ -165,7 +209,8 @@ def processes(t: Tables) -> DataFrame:
                     ext.alias("ext"), F.lit(True).alias("ext_is_map"))
 
 
-def files(t: Tables) -> DataFrame:
+@plan_once
+def files(t: _Folder) -> DataFrame:
     """Listing of work and results files: length is the key, the digest is of the path."""
     def rows(df, prefix, level, key, ext="csv"):
         p = F.concat(F.lit(f"{prefix}/{level}/"), text(key), F.lit(f".{ext}"))
@@ -183,13 +228,15 @@ def files(t: Tables) -> DataFrame:
     return made.unionByName(parts)
 
 
-def run_log(t: Tables) -> RunLog:
+@plan_once
+def run_log(t: _Folder) -> RunLog:
     return RunLog(runs=runs(t), tasks=tasks(t), task_inputs=task_inputs(t), task_outputs=task_outputs(t),
                   publishes=publishes(t), workflow_outputs=workflow_outputs(t), params=params(t),
                   processes=processes(t), files=files(t))
 
 
-def inspect_log(t: Tables) -> DataFrame:
+@plan_once
+def inspect_log(t: _Folder) -> DataFrame:
     """Image inspect records, one per distinct image of a session; some unusable."""
     images = tasks(t).select(F.col("container").alias("image")).distinct()
     repo = F.regexp_replace("image", ":[^:/]*$", "")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from provlake.functions import text as X
 from provlake.operators import containers, filetree, runs as R
 from provlake.plans import adapter as A, provenance as P
+from provlake.plans.shared import graph, resolved
 from provlake.plans.sqlbase import ark, bare, base, data_ark, query, slug, trim
 
 QUERIES, SQL = {}, {}
@@ -88,13 +89,8 @@ def publish_globs(spark, folder):
     GROUP BY ALL""", "used", "made"))
 def self_use_removed(spark, folder):
     t = A.Tables(spark, folder)
-    log = A.run_log(t)
-    k = P.keys_of(log, X.DEFAULT_NAAN)
-    pub = R.successful_runs(R.latest_publishes(log.publishes), log.runs)
-    alias = R.aliases(pub)
-    staged, generated = P.used_and_generated(log, k["tasks"], alias, X.DEFAULT_NAAN)
-    run_used, run_made = P.run_edges(log, k["runs"], pub, k["tasks"], alias, X.DEFAULT_NAAN)
-    out = R.self_use_removed(staged.unionByName(run_used), generated.unionByName(run_made))
+    used, made = P.uses(resolved(spark, folder), A.run_log(t))
+    out = R.self_use_removed(used, made)
     return out.groupBy("session_id", "comp").agg(F.count("*").alias("n_used"))
 
 
@@ -154,10 +150,7 @@ def definition_locators(spark, folder):
     regexp_extract(path, '\\.([^./]*)$', 1) IN ('csv', 'tsv') AS tabular FROM data) GROUP BY ALL""", "data"))
 def file_formats(spark, folder):
     t = A.Tables(spark, folder)
-    log = A.run_log(t)
-    k = P.keys_of(log, X.DEFAULT_NAAN)
-    pub = R.latest_publishes(log.publishes)
-    f = P.file_table(log, k["tasks"], pub, R.aliases(pub), X.DEFAULT_NAAN)
+    f = P.file_table(resolved(spark, folder), A.run_log(t))
     return f.groupBy(filetree.file_format("first_path").alias("format"), filetree.is_tabular("first_path").alias("tabular")) \
         .agg(F.count("*").alias("n"))
 
@@ -193,7 +186,7 @@ def folded_params(spark, folder):
     'def key = 1' || chr(10) || chr(10) || 'build ' || lower(regexp_extract(process, '([^:]*)$', 1)) AS description
     FROM tasks""", "tasks"))
 def annotation_overlay(spark, folder):
-    g = P.build_provenance(A.run_log(A.Tables(spark, folder)))
+    g = graph(spark, folder)
     procs = g.entities.where((F.col("pos") >= 5 * 10 ** 15) & (F.col("pos") < 6 * 10 ** 15))
     from provlake.functions.values import prop
     t = A.processes(A.Tables(spark, folder)).select(F.col("session_id").alias("crate_id"), "process",
@@ -350,7 +343,7 @@ def leftover_outputs(spark, folder):
 @register("graph_size", query("""SELECT crate_id, kind AS what, count(*)::BIGINT AS n FROM ent GROUP BY ALL
     UNION ALL SELECT crate_id, predicate, count(*)::BIGINT FROM edge GROUP BY ALL""", "ent", "edge"))
 def graph_size(spark, folder):
-    g = P.build_provenance(A.run_log(A.Tables(spark, folder)))
+    g = graph(spark, folder)
     kind = F.regexp_extract(F.try_element_at("types", F.lit(-1)), "([A-Za-z]+)$", 1)
     return g.entities.groupBy("crate_id", kind.alias("what")).agg(F.count("*").alias("n")).unionByName(
         g.edges.groupBy("crate_id", F.col("predicate").alias("what")).agg(F.count("*").alias("n")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from provlake import model as M
 from provlake.functions import text as X
 from provlake.operators import containers, filetree, runs as R
+from provlake.session import cut
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -33,18 +35,52 @@ def software_ark(process, script_path, naan: str = X.DEFAULT_NAAN) -> Column:
     return X.mint_ark("software", X.bare_name(process), F.concat(X.col(script_path), F.lit("#"), X.col(process)), naan)
 
 
-def used_and_generated(log: M.RunLog, tasks: DataFrame, alias: DataFrame, naan: str):
-    """Distinct (session_id, comp, ark) both ways; no computation uses what it generated."""
-    comp = tasks.select("session_id", "task_hash", "comp")
-    generated = R.with_dataset_ark(log.task_outputs.join(comp, ["session_id", "task_hash"]), alias, naan) \
-        .select("session_id", "comp", "ark").distinct()
-    staged = R.with_dataset_ark(log.task_inputs.join(comp, ["session_id", "task_hash"]), alias, naan) \
-        .select("session_id", "comp", "ark").distinct()
-    return staged, generated
+@dataclass
+class Resolved:
+    """The tables everything else is derived from, written once each."""
 
+    runs: DataFrame
+    tasks: DataFrame
+    publishes: DataFrame
+    alias: DataFrame
+    inputs: DataFrame   # session_id, task_hash, comp, path, ark
+    outputs: DataFrame  # session_id, task_hash, comp, seq, ord, path, ark
 
-def file_table(log: M.RunLog, tasks: DataFrame, pub: DataFrame, alias: DataFrame, naan: str,
-               expanded: DataFrame | None = None, read_params: bool = False) -> DataFrame:
+
+def resolve(log: M.RunLog, naan: str = X.DEFAULT_NAAN, patterns: list[str] | None = None) -> Resolved:
+    """Kept tasks with identifiers, and what they read and wrote with dataset identifiers.
+
+    Inputs and outputs are the big tables; they are joined with tasks and aliases here and
+    written, so that no later step joins or scans the log again.
+    """
+    k = keys_of(log, naan)
+    tasks = cut(k["tasks"], "tasks")
+    pub = cut(R.successful_runs(R.latest_publishes(log.publishes, patterns), log.runs), "publishes")
+    alias = R.aliases(pub)
+    comp = tasks.select("session_id", "task_hash", "comp", "seq")
+    with_comp = lambda df: R.with_dataset_ark(df.join(comp, ["session_id", "task_hash"]), alias, naan)
+    inputs = cut(with_comp(log.task_inputs).select("session_id", "task_hash", "comp", "path", "ark"), "inputs")
+    outputs = cut(with_comp(log.task_outputs).select("session_id", "task_hash", "comp", "seq", "ord", "path", "ark"), "outputs")
+    return Resolved(k["runs"], tasks, pub, alias, inputs, outputs)
+
+
+def uses(z: Resolved, log: M.RunLog, naan: str = X.DEFAULT_NAAN, read_params: bool = False):
+    """(session_id, comp, ark) both ways, of tasks and of the run as a whole, each pair once."""
+    run = z.runs.select("session_id", F.col("run").alias("comp"))
+    staged = z.inputs.select("session_id", "comp", "ark").distinct()
+    generated = z.outputs.select("session_id", "comp", "ark").distinct()
+    read = R.run_inputs(z.inputs, z.outputs)
+    if read_params:
+        read = read.unionByName(R.param_files(log.params, log.files).select("session_id", "path")).distinct()
+    made = z.publishes.select("session_id", F.col("target").alias("path")).unionByName(
+        log.workflow_outputs.where("path is not null").select("session_id", "path")).distinct()
+    ark = lambda df: R.with_dataset_ark(df, z.alias, naan).select("session_id", "ark").distinct() \
+        .join(run, "session_id").select("session_id", "comp", "ark")
+    return staged.unionByName(ark(read)), generated.unionByName(ark(made))
+
+
+def file_table(z: Resolved, log: M.RunLog, naan: str = X.DEFAULT_NAAN, expanded: DataFrame | None = None,
+               read_params: bool = False) -> DataFrame:
     """One row per dataset: (session_id, ark, first_path, target, producer, first_rank, first_seq).
 
     First path by registration order (published sources, published targets, run inputs, task
@@ -52,22 +88,20 @@ def file_table(log: M.RunLog, tasks: DataFrame, pub: DataFrame, alias: DataFrame
     produced by the last task that wrote it. One grouping answers all three.
     """
     none = F.lit(None).cast("string")
-    comp = tasks.select("session_id", "task_hash", "comp", "seq")
-    outputs = log.task_outputs.join(comp, ["session_id", "task_hash"])
-    inputs = R.run_inputs(R.of_tasks(log.task_inputs, tasks), outputs)
 
     def rows(df, path, rank, seq=None, target=none, producer=none):
         seq = F.lit(0) if seq is None else F.col(seq)
         return df.select("session_id", F.col(path).alias("path"), F.lit(rank).alias("rank"),
                          seq.cast("bigint").alias("seq"), target.alias("target"), producer.alias("producer"))
+    pub, inputs = z.publishes, R.run_inputs(z.inputs, z.outputs)
     frames = [rows(pub, "key", 0, "seq"), rows(pub, "target", 1, "seq", target=F.col("target")), rows(inputs, "path", 2),
-              rows(outputs, "path", 3, "seq", producer=F.col("comp")),
+              rows(z.outputs, "path", 3, "seq", producer=F.col("comp")),
               rows(R.successful_runs(log.workflow_outputs.where("path is not null"), log.runs), "path", 4)]
     if read_params:
         frames.append(rows(R.successful_runs(R.param_files(log.params, log.files), log.runs), "path", 2))
     if expanded is not None:
         frames.append(rows(expanded, "path", 5))
-    every = R.with_dataset_ark(_union(frames), alias, naan)
+    every = R.with_dataset_ark(_union(frames), z.alias, naan)
     return every.groupBy("session_id", "ark").agg(
         F.min_by("path", F.struct("rank", "seq", "path")).alias("first_path"),
         F.max_by("target", F.when(F.col("target").isNotNull(), F.col("seq"))).alias("target"),
@@ -75,21 +109,6 @@ def file_table(log: M.RunLog, tasks: DataFrame, pub: DataFrame, alias: DataFrame
         F.min("rank").alias("first_rank"), F.min("seq").alias("first_seq"))
 
 
-def run_edges(log: M.RunLog, runs: DataFrame, pub: DataFrame, tasks: DataFrame, alias: DataFrame, naan: str,
-              read_params: bool = False):
-    """(session_id, comp, ark) of the run as a whole, uses and results, before self-use removal."""
-    outputs = R.of_tasks(log.task_outputs, tasks)
-    inputs = R.run_inputs(R.of_tasks(log.task_inputs, tasks), outputs).select("session_id", "path")
-    if read_params:
-        inputs = inputs.unionByName(R.param_files(log.params, log.files).select("session_id", "path")).distinct()
-    made = pub.select("session_id", F.col("target").alias("path")).unionByName(
-        log.workflow_outputs.where("path is not null").select("session_id", "path")).distinct()
-    run = runs.select("session_id", F.col("run").alias("comp"))
-    ark = lambda df: R.with_dataset_ark(df, alias, naan).select("session_id", "ark").distinct() \
-        .join(run, "session_id").select("session_id", "comp", "ark")
-    return ark(inputs), ark(made)
-
-
 def build_provenance(log: M.RunLog, naan: str = X.DEFAULT_NAAN, patterns: list[str] | None = None,
                      media_types: dict[str, str] | None = None, describe_files: bool = False,
                      identities: DataFrame | None = None, versions: DataFrame | None = None,
@@ -104,22 +123,18 @@ def build_provenance(log: M.RunLog, naan: str = X.DEFAULT_NAAN, patterns: list[s
     ``schema_docs`` (session_id, path) adds schema entities, ``copies`` (session_id, path,
     copied_to) are workflow files inside the crate.
     """
-    k = keys_of(log, naan)
-    runs, tasks = k["runs"], k["tasks"]
-    pub = R.successful_runs(R.latest_publishes(log.publishes, patterns), log.runs)
-    alias = R.aliases(pub)
-    staged, generated = used_and_generated(log, tasks, alias, naan)
-    run_used, run_made = run_edges(log, runs, pub, tasks, alias, naan, read_params)
-    used = staged.unionByName(run_used)
-    made = generated.unionByName(run_made)
+    z = resolve(log, naan, patterns)
+    runs, tasks, alias = z.runs, z.tasks, z.alias
+    used, made = uses(z, log, naan, read_params)
     if not keep_self_use:
         used = R.self_use_removed(used, made)
-    files = file_table(log, tasks, pub, alias, naan, expanded, read_params)
+    files = cut(file_table(z, log, naan, expanded, read_params), "files")
 
     about = runs.select("session_id", "run_name", "author", "version", "complete_ts", "start_ts", "crate_dir", "workflow", "run")
     procs = tasks.select("session_id", "process").distinct().join(
         log.processes, ["session_id", "process"], "left").join(about.select("session_id", "workflow"), "session_id") \
         .withColumn("software", software_ark("process", "script_path", naan))
+    procs = cut(procs, "processes")
 
     # ---- edges
     as_crate = lambda df: df.withColumnRenamed("session_id", "crate_id")
