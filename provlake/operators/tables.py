@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from provlake.functions import cells as C
 from provlake.functions.text import trim_ws
+from provlake.session import cut
 
 # Sample size, confidence, comment character and the longest preamble.
 SAMPLE_ROWS = 100
@@ -57,10 +58,10 @@ def drop_preamble(cells: DataFrame, comment_char: str = COMMENT_CHAR,
 
 
 def scores(cell) -> list[Column]:
-    """Per candidate: 0 for a missing cell, else +1 readable / -1 not."""
+    """Per candidate, over prepared cells: 0 for a missing cell, else +1 readable / -1 not."""
     c = F.col(cell)
     missing = c.isNotNull() & (c == "")
-    return [F.when(missing, 0).when(C.readable(kind, cell), 1).otherwise(-1).cast("int").alias(f"d{i}")
+    return [F.when(missing, 0).when(C.readable(kind, cell, ready=True), 1).otherwise(-1).cast("tinyint").alias(f"d{i}")
             for i, kind in enumerate(C.CANDIDATES)]
 
 
@@ -84,13 +85,14 @@ def type_race(values: DataFrame, rows: DataFrame, block_rows: int | None = None)
     blocks before, so a file of any length spreads over the cluster.
     """
     n_c = len(C.CANDIDATES)
-    scored = values.select(
+    scored = C.prepared(values.select("file", "col", "row", "cell")).select(
         "file", "col", "row", F.when(F.col("cell") == "", 1).otherwise(0).alias("miss"), *scores("cell"))
     keys = ["file", "col"]
     if block_rows is None:
         block = keys
     else:
-        scored = scored.withColumn("block", F.floor(F.col("row") / block_rows))
+        # reading a cell costs far more than its score takes: score once, read the scores twice
+        scored = cut(scored.withColumn("block", F.floor(F.col("row") / block_rows)), "scores")
         block = keys + ["block"]
     upto = Window.partitionBy(*block).orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*block).orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
@@ -100,12 +102,12 @@ def type_race(values: DataFrame, rows: DataFrame, block_rows: int | None = None)
     run = run.select(*block, "row", "miss", *[f"s{i}" for i in range(n_c)],
                      *[F.min(f"s{i}").over(before).alias(f"m{i}") for i in range(n_c)])
     if block_rows is not None:
-        sums = scored.groupBy(*block).agg(F.sum("miss").alias("b_miss"),
-                                          *[F.sum(f"d{i}").alias(f"t{i}") for i in range(n_c)])
-        lows = run.groupBy(*block).agg(*[F.min(f"s{i}").alias(f"l{i}") for i in range(n_c)])
+        offs = run.groupBy(*block).agg(
+            F.max_by("miss", "row").alias("b_miss"), *[F.max_by(f"s{i}", "row").alias(f"t{i}") for i in range(n_c)],
+            *[F.min(f"s{i}").alias(f"l{i}") for i in range(n_c)])
         earlier = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
         zero = lambda c: F.coalesce(c, F.lit(0))
-        offs = sums.join(lows, block).select(
+        offs = offs.select(
             *block, *[f"l{i}" for i in range(n_c)], zero(F.sum("b_miss").over(earlier)).alias("o_miss"),
             *[zero(F.sum(f"t{i}").over(earlier)).alias(f"o{i}") for i in range(n_c)])
         offs = offs.select(*block, "o_miss", *[f"o{i}" for i in range(n_c)],
@@ -153,6 +155,7 @@ def collapse_trailing(props: DataFrame, threshold: int) -> DataFrame:
     Output: (file, position, name, index, type, item_type, span, first_name, last_name).
     The name is 'values', prefixed by '_' until no kept column has it.
     """
+    props = cut(props, "properties")
     last = props.groupBy("file").agg(F.max_by("detected", "col").alias("last_type"), F.max("col").alias("last_col"))
     runs = props.join(last, "file").groupBy("file").agg(
         F.first("last_type").alias("last_type"), F.first("last_col").alias("last_col"),

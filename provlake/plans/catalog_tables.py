@@ -72,10 +72,11 @@ def sql_reader(kind: str, x: str = "cell") -> str:
     whole = lambda v: f"try_cast(replace({trim(v)}, '_', '') AS INTEGER)"
     zone = r"([Zz]|[+-]\d{2}:?\d{2})?"
     a = r"\d+(\.\d+)?"
-    jt = f"CASE WHEN json_valid({x}) THEN json_type({x}) ELSE '' END"
+    js = f"try_cast({x} AS JSON)"
+    jt = f"coalesce(json_type({js}), '')"
     y, m, d = (f"try_cast(regexp_extract({x}, '^(\\d{{1,4}})-(\\d{{1,2}})-(\\d{{1,2}})$', {i}) AS INTEGER)" for i in (1, 2, 3))
-    gt = f"json_extract_string({x}, '$.type')"
-    has = lambda k: f"list_contains(json_keys({x}), '{k}')"
+    gt = f"json_extract_string({js}, '$.type')"
+    has = lambda k: f"list_contains(json_keys({js}), '{k}')"
     return {
         "string": "true", "integer": full(t, integer), "number": number(x),
         "boolean": f"{x} IN ('true', 'True', 'TRUE', '1', 'false', 'False', 'FALSE', '0')",
@@ -141,7 +142,7 @@ def schema_documents(spark, folder):
     f"SELECT col, '{k}' AS type, count(*) FILTER ({sql_readable(k)})::BIGINT AS n_readable FROM cells GROUP BY col" for k in C.CANDIDATES))
 def cell_readers(spark, folder):
     cells = order_cells(A.Tables(spark, folder))
-    counts = cells.groupBy("col").agg(*[F.count_if(C.readable(k, "cell")).alias(k) for k in C.CANDIDATES])
+    counts = C.prepared(cells).groupBy("col").agg(*[F.count_if(C.readable(k, "cell", ready=True)).alias(k) for k in C.CANDIDATES])
     return counts.unpivot("col", C.CANDIDATES, "type", "n_readable")
 
 
