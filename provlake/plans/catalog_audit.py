@@ -254,14 +254,14 @@ def graph_diff(spark, folder):
 
 def _version_lines(t):
     c = t.conversations
-    text = F.concat(F.when(F.col("role") == "assistant", F.lit("# reply\n")).otherwise(F.concat(F.lit("'DESK:"), F.upper("role"), F.lit("':\n"))),
+    text = F.concat(F.when(F.col("role") == "assistant", F.lit("# reply\n")).otherwise(F.concat(F.lit("'"), F.upper("role"), F.lit("':\n"))),
                     F.lit('  chars: "'), F.length("text").cast("string"), F.lit('"\n    turn : v'), A.text("turn"), F.lit("\n  blank:\n\n"), "text")
     lines = c.select("conv_id", "turn", F.posexplode(F.split(text, "\n", -1)).alias("k", "line"))
     return lines.select(A.text("conv_id").alias("file"), (F.col("turn") * 1000000 + F.col("k")).alias("line_no"), "line")
 
 
 PAIRS_CTE = """opened AS (SELECT conv_id, turn, length(text) AS n, max(CASE WHEN role <> 'assistant' THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn) AS open_turn FROM conversations),
-    named AS (SELECT o.conv_id, o.turn, n, 'DESK:' || upper(c.role) AS process FROM opened o JOIN conversations c ON c.conv_id = o.conv_id AND c.turn = o.open_turn),
+    named AS (SELECT o.conv_id, o.turn, n, upper(c.role) AS process FROM opened o JOIN conversations c ON c.conv_id = o.conv_id AND c.turn = o.open_turn),
     pairs AS (SELECT conv_id, process, tool, arg_max(version, turn) AS version, min(turn) AS first_turn FROM (
         SELECT conv_id, process, turn, unnest(['chars', 'turn']) AS tool, unnest([n::VARCHAR, 'v' || turn]) AS version FROM named) GROUP BY ALL)"""
 
