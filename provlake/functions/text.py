@@ -21,7 +21,7 @@ def col(c) -> Column:
 
 def trim_ws(c) -> Column:
     """Strip every character up to U+0020 from both ends (Spark's trim strips blanks only)."""
-    return F.regexp_replace(col(c), r"\A[\x00-\x20]+|[\x00-\x20]+\z", "")
+    return F.btrim(col(c), F.lit("".join(map(chr, range(0x21)))))
 
 
 def blank_to_null(c) -> Column:

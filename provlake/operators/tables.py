@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from provlake.functions import cells as C
 from provlake.functions.text import trim_ws
-from provlake.session import cut
+from provlake.session import cut, short_methods
 
 # Sample size, confidence, comment character and the longest preamble.
 SAMPLE_ROWS = 100
@@ -92,7 +92,8 @@ def type_race(values: DataFrame, rows: DataFrame, block_rows: int | None = None)
         block = keys
     else:
         # reading a cell costs far more than its score takes: score once, read the scores twice
-        scored = cut(scored.withColumn("block", F.floor(F.col("row") / block_rows)), "scores")
+        with short_methods(values.sparkSession):
+            scored = cut(scored.withColumn("block", F.floor(F.col("row") / block_rows)), "scores")
         block = keys + ["block"]
     upto = Window.partitionBy(*block).orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*block).orderBy("row").rowsBetween(Window.unboundedPreceding, -1)

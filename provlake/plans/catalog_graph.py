@@ -10,7 +10,7 @@ from provlake.model import Graph, edge_frame
 from provlake.operators import condense as C
 from provlake.operators import entail, reach as W, runs as R
 from provlake.plans import adapter as A, provenance as P
-from provlake.plans.lineage import lineage
+from provlake.plans.lineage import lineage, walk
 from provlake.plans.shared import graph, once, resolved
 from provlake.plans.sqlbase import base, data_ark, query
 from provlake.session import cut
@@ -28,7 +28,11 @@ def register(name, sql=None):
 
 
 def job(spark, folder):
-    return once(spark, folder, "lineage", lambda: lineage(graph(spark, folder)))
+    return once(spark, folder, "lineage", lambda: lineage(graph(spark, folder), walked=_walk(spark, folder)))
+
+
+def _walk(spark, folder):
+    return once(spark, folder, "walk", lambda: walk(graph(spark, folder)))
 
 
 PAIRS = "pairs", "SELECT * FROM (VALUES " + ", ".join(
@@ -147,13 +151,7 @@ def backward_lineage(spark, folder):
 
 
 def _reached(spark, folder):
-    def make():
-        from provlake.plans.lineage import with_declared_io
-        g = graph(spark, folder)
-        roots = entail.root_entities(g.entities, g.edges)
-        edges = cut(with_declared_io(g, roots), "io-edges")
-        return W.reach(W.lineage_starts(g.entities, edges, roots), cut(W.walk_edges(g.entities, edges), "walk"), ["crate_id"])
-    return once(spark, folder, "reached", make)
+    return _walk(spark, folder).reached
 
 
 @register("lineage_nodes", query("SELECT crate_id, node, depth FROM reached", "walk", "ent", "run", extra=LINEAGE_CTE, recursive=True))

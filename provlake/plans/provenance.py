@@ -264,7 +264,7 @@ def build_provenance(log: M.RunLog, naan: str = X.DEFAULT_NAAN, patterns: list[s
         edges.append(M.edge_frame(as_crate(conf), "isPartOf", "conf_ark", "workflow"))
         entities.append(frame(as_crate(conf), "config", entity_id=F.col("conf_ark"), types=M.strings(M.DATASET_TYPES),
                               name=X.basename("path"), formats=M.strings(["workflow-config"]), content_url=F.col("copied_to")))
-    everything = _union(entities)
+    everything = cut(_union(entities), "entities")
     # the root lists everything but itself and the descriptor
     parts = everything.where(F.col("pos") >= 2 * M.SECTION).select("crate_id", "entity_id") \
         .join(r.select("crate_id", "root"), "crate_id")
