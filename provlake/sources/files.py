@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The staging function of a launch script and the launch line of its image.
 STAGE_FUNCTION = "nxf_stage"
@@ -60,7 +61,7 @@ def read_scripts(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def shell_words(clauses: pd.Series) -> pd.Series:
     """Words of a shell clause with its quoting resolved; empty when it does not parse."""
     def words(text):
