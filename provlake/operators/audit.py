@@ -9,6 +9,7 @@ from provlake.functions import text as X
 from provlake.functions import types as K
 from provlake.functions.values import json_text, prop
 from provlake.model import CRATE_PROFILE, DESCRIPTOR_ID
+from provlake.operators.skew import join_facts
 
 # Properties whose targets must exist, names that are no author, task states
 # that count as success, and where a task folder's hash stands in a staged path.
@@ -69,7 +70,8 @@ def tool_versions(entities: DataFrame, edges: DataFrame, crates: DataFrame) -> D
     named = F.contains(low, F.lit("versions")) & F.col("name").rlike(r"\.(yml|yaml)\z")
     reports = entities.groupBy("crate_id").agg(F.bool_or((K.audit_type("types") == "Dataset") & F.coalesce(named, F.lit(False))).alias("reports"))
     own = crates.select("crate_id", prop("root_props", "version").alias("crate_version"))
-    rows = process_software(entities, edges).select("crate_id", prop("props", "version").alias("version")).join(own, "crate_id")
+    rows = process_software(entities, edges).select("crate_id", "entity_id", prop("props", "version").alias("version"))
+    rows = join_facts(rows, own, ["crate_id"], "entity_id")
     counts = rows.groupBy("crate_id").agg(F.count("*").alias("processes"), F.count_if(F.col("version").eqNullSafe(F.col("crate_version"))).alias("stale"))
     verdict = F.when(F.col("reports") & (F.col("stale") == F.col("processes")), "fail").when(F.col("stale") > 0, "note").otherwise("ok")
     return counts.join(reports, "crate_id").select("crate_id", "processes", "stale", "reports", verdict.alias("verdict"))

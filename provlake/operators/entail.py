@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from provlake.functions import text as X
 from provlake.functions import types as K
 from provlake.model import DESCRIPTOR_ID, EDGE_COLUMNS
+from provlake.operators.skew import join_facts
 
 # The inverse pairs of the vocabulary.
 INVERSE_PAIRS = [
@@ -130,7 +131,7 @@ def root_entities(entities: DataFrame, edges: DataFrame) -> DataFrame:
     by_type = named.where("crate").select("crate_id", "entity_id", F.lit(1).alias("priority"), "pos")
     # the second entity: smallest position after the smallest one; two mins, no window
     first = named.groupBy("crate_id").agg(F.min("pos").alias("first_pos"))
-    second = named.join(first, "crate_id").where(F.col("pos") > F.col("first_pos")).groupBy("crate_id").agg(
+    second = join_facts(named, first, ["crate_id"], "entity_id").where(F.col("pos") > F.col("first_pos")).groupBy("crate_id").agg(
         F.min_by("entity_id", "pos").alias("entity_id"), F.min("pos").alias("pos")) \
         .select("crate_id", "entity_id", F.lit(2).alias("priority"), "pos")
     return by_about.unionByName(by_type).unionByName(second).groupBy("crate_id").agg(

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from provlake.functions import text as X
+from provlake.operators.skew import first_k
 
 # Media types by extension, and the cap on files described per folder.
 MEDIA_TYPES = {
@@ -54,18 +55,12 @@ def expand_folders(files: DataFrame, folders: DataFrame, patterns: list[str] | N
                    max_files: int = EXPAND_MAX_FILES) -> tuple[DataFrame, DataFrame]:
     """The first files of each published folder by path, and how many were left out.
 
-    The cap is part of the operator. The rank is an exact top-k: each (folder, slice) keeps
-    its first ``max_files`` before one folder's survivors meet, so a folder of any size is
-    never one task's work.
+    The cap is part of the operator; what it leaves out is reported per folder.
     """
     inside = in_folders(files.where(~F.col("is_dir") & X.matches_globs("path", patterns or [])), folders)
     inside = inside.select("session_id", "dir", "path")
     totals = inside.groupBy("session_id", "dir").agg(F.count("*").alias("n_files"))
-    sliced = inside.withColumn("slice", F.pmod(F.xxhash64("path"), F.lit(64)))
-    first = F.row_number().over(Window.partitionBy("session_id", "dir", "slice").orderBy("path"))
-    some = sliced.withColumn("rank", first).where(F.col("rank") <= max_files).drop("rank", "slice")
-    rank = F.row_number().over(Window.partitionBy("session_id", "dir").orderBy("path"))
-    kept = some.withColumn("rank", rank).where(F.col("rank") <= max_files)
+    kept = first_k(inside, ["session_id", "dir"], "path", max_files)
     dropped = totals.select("session_id", "dir", "n_files", F.greatest(
         F.col("n_files") - max_files, F.lit(0)).alias("n_dropped"))
     return kept, dropped

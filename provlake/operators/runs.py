@@ -2,26 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from provlake.functions import text as X
+from provlake.operators.running import running_sum
+from provlake.operators.skew import join_facts
 
 # Task states that leave provenance, annotation keys, protected root keys.
 KEPT_STATES = ["COMPLETED", "CACHED"]
 ANNOTATION_KEYS = ["softwareName", "softwareVersion", "softwareAuthor", "softwareDescription",
                    "softwareUrl", "softwareFormat", "softwareKeywords"]
 PROTECTED_ROOT_KEYS = ["@id", "@type", "conformsTo", "hasPart"]
+NAME_BLOCK = 4096
 DEFAULT_LICENSE = "https://spdx.org/licenses/Apache-2.0"
 
 
-def successful_runs(df: DataFrame, runs: DataFrame) -> DataFrame:
-    """Rows of runs that ended well; a failed run leaves nothing."""
-    return df.join(runs.where("success").select("session_id"), "session_id", "left_semi")
+def successful_runs(df: DataFrame, runs: DataFrame, spread: str) -> DataFrame:
+    """Rows of runs that ended well; a failed run leaves nothing. ``spread``: a column that
+    differs among the rows of a run."""
+    return join_facts(df, runs.where("success").select("session_id"), ["session_id"], spread)
 
 
 def kept_tasks(tasks: DataFrame, runs: DataFrame) -> DataFrame:
-    return successful_runs(tasks.where(F.col("status").isin(KEPT_STATES)), runs)
+    return successful_runs(tasks.where(F.col("status").isin(KEPT_STATES)), runs, "task_hash")
 
 
 def latest_publishes(publishes: DataFrame, patterns: list[str] | None = None) -> DataFrame:
@@ -147,14 +151,13 @@ def copied_names(sources: DataFrame) -> DataFrame:
     A first round numbers equal basenames in order. A generated name that is itself taken
     by another source's basename moves on past every taken number of that stem.
     """
-    from pyspark.sql import Window
     name = X.basename("path")
     dot = F.length(F.regexp_extract(name, r"\A(.+)\.[^.]*\z", 1))
     stem = F.when(dot > 0, F.substr(name, F.lit(1), dot)).otherwise(name)
     rows = sources.select("session_id", "path", "seq", name.alias("name"), stem.alias("stem"),
                           F.substr(name, F.length(stem) + 1).alias("ext"))
-    nth = F.row_number().over(Window.partitionBy("session_id", "name").orderBy("seq", "path"))
-    rows = rows.withColumn("nth", nth)
+    rows = running_sum(rows, ["session_id", "name"], ["seq", "path"], F.lit(1), F.floor(F.col("seq") / NAME_BLOCK), "before")
+    rows = rows.withColumn("nth", F.col("before") + 1).drop("before")
     # numbers already spelled out in real basenames of the same stem and extension
     number = F.regexp_extract("name", r"-([2-9]|[1-9][0-9]+)(\.[^.]*)?\z", 1)
     taken = rows.where((F.col("nth") == 1) & (number != "")).select(

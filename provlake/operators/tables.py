@@ -17,6 +17,7 @@ from provlake.session import cut, short_methods
 
 # Sample size, confidence, comment character and the longest preamble.
 SAMPLE_ROWS = 100
+BLOCK_ROWS = 10_000
 CONFIDENCE = 0.9
 COMMENT_CHAR = "#"
 MAX_COMMENT_ROWS = 50
@@ -141,13 +142,16 @@ def property_rows(names: DataFrame, types: DataFrame) -> DataFrame:
         source.alias("detected"))
 
 
-def infer_schemas(cells: DataFrame, sample_rows: int = SAMPLE_ROWS, comment_char: str = COMMENT_CHAR) -> DataFrame:
-    """Property rows per file from raw cells: preamble, header, sample, race."""
-    body = drop_preamble(cells, comment_char).where(F.col("row") <= sample_rows)
+def infer_schemas(cells: DataFrame, sample_rows: int | None = SAMPLE_ROWS, comment_char: str = COMMENT_CHAR) -> DataFrame:
+    """Property rows per file from raw cells: preamble, header, sample, race. Without a sample
+    every row counts, in blocks."""
+    body = drop_preamble(cells, comment_char)
+    if sample_rows is not None:
+        body = body.where(F.col("row") <= sample_rows)
     names = header_names(body.where(F.col("row") == 0).select("file", "col", F.col("cell").alias("label")))
     data = with_short_rows(body, names)
     counts = body.where(F.col("row") > 0).groupBy("file").agg(F.countDistinct("row").alias("n_rows"))
-    return property_rows(names, type_race(data, counts))
+    return property_rows(names, type_race(data, counts, None if sample_rows is not None else BLOCK_ROWS))
 
 
 def collapse_trailing(props: DataFrame, threshold: int) -> DataFrame:

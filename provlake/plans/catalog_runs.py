@@ -71,7 +71,7 @@ def flat_outputs(spark, folder):
 @register("publish_alias", query(f"""SELECT session_id, source AS key, target, {data_ark('source')} AS ark FROM pub""", "pub"))
 def publish_alias(spark, folder):
     t = A.Tables(spark, folder)
-    pub = R.successful_runs(R.latest_publishes(A.publishes(t)), A.runs(t))
+    pub = R.successful_runs(R.latest_publishes(A.publishes(t)), A.runs(t), "target")
     rows = R.with_dataset_ark(pub.withColumn("path", F.col("target")).drop("key"), R.aliases(pub))
     return rows.join(R.aliases(pub).select("session_id", "path", "key"), ["session_id", "path"]).select(
         "session_id", "key", "target", "ark")

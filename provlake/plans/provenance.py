@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from provlake import model as M
 from provlake.functions import text as X
 from provlake.operators import containers, filetree, runs as R
+from provlake.operators.skew import join_facts
 from provlake.session import cut
 
 
@@ -55,7 +56,7 @@ def resolve(log: M.RunLog, naan: str = X.DEFAULT_NAAN, patterns: list[str] | Non
     """
     k = keys_of(log, naan)
     tasks = cut(k["tasks"], "tasks")
-    pub = cut(R.successful_runs(R.latest_publishes(log.publishes, patterns), log.runs), "publishes")
+    pub = cut(R.successful_runs(R.latest_publishes(log.publishes, patterns), log.runs, "target"), "publishes")
     alias = R.aliases(pub)
     comp = tasks.select("session_id", "task_hash", "comp", "seq")
     with_comp = lambda df: R.with_dataset_ark(df.join(comp, ["session_id", "task_hash"]), alias, naan)
@@ -74,8 +75,8 @@ def uses(z: Resolved, log: M.RunLog, naan: str = X.DEFAULT_NAAN, read_params: bo
         read = read.unionByName(R.param_files(log.params, log.files).select("session_id", "path")).distinct()
     made = z.publishes.select("session_id", F.col("target").alias("path")).unionByName(
         log.workflow_outputs.where("path is not null").select("session_id", "path")).distinct()
-    ark = lambda df: R.with_dataset_ark(df, z.alias, naan).select("session_id", "ark").distinct() \
-        .join(run, "session_id").select("session_id", "comp", "ark")
+    ark = lambda df: join_facts(R.with_dataset_ark(df, z.alias, naan).select("session_id", "ark").distinct(),
+                                run, ["session_id"], "ark").select("session_id", "comp", "ark")
     return staged.unionByName(ark(read)), generated.unionByName(ark(made))
 
 
@@ -96,9 +97,9 @@ def file_table(z: Resolved, log: M.RunLog, naan: str = X.DEFAULT_NAAN, expanded:
     pub, inputs = z.publishes, R.run_inputs(z.inputs, z.outputs)
     frames = [rows(pub, "key", 0, "seq"), rows(pub, "target", 1, "seq", target=F.col("target")), rows(inputs, "path", 2),
               rows(z.outputs, "path", 3, "seq", producer=F.col("comp")),
-              rows(R.successful_runs(log.workflow_outputs.where("path is not null"), log.runs), "path", 4)]
+              rows(R.successful_runs(log.workflow_outputs.where("path is not null"), log.runs, "path"), "path", 4)]
     if read_params:
-        frames.append(rows(R.successful_runs(R.param_files(log.params, log.files), log.runs), "path", 2))
+        frames.append(rows(R.successful_runs(R.param_files(log.params, log.files), log.runs, "path"), "path", 2))
     if expanded is not None:
         frames.append(rows(expanded, "path", 5))
     every = R.with_dataset_ark(_union(frames), z.alias, naan)
@@ -142,9 +143,9 @@ def build_provenance(log: M.RunLog, naan: str = X.DEFAULT_NAAN, patterns: list[s
         M.edge_frame(as_crate(used), "usedDataset", "comp", "ark"),
         M.edge_frame(as_crate(made), "generated", "comp", "ark"),
         M.edge_frame(as_crate(files.where("producer is not null")), "generatedBy", "ark", "producer"),
-        M.edge_frame(as_crate(tasks.join(procs.select("session_id", "process", "software"), ["session_id", "process"])),
+        M.edge_frame(as_crate(join_facts(tasks, procs.select("session_id", "process", "software"), ["session_id", "process"], "comp")),
                      "usedSoftware", "comp", "software"),
-        M.edge_frame(as_crate(tasks.join(runs.select("session_id", "run"), "session_id")), "isPartOf", "comp", "run"),
+        M.edge_frame(as_crate(join_facts(tasks, runs.select("session_id", "run"), ["session_id"], "comp")), "isPartOf", "comp", "run"),
         M.edge_frame(as_crate(runs), "usedSoftware", "run", "workflow"),
         M.edge_frame(as_crate(runs.withColumn("one", F.lit(1))), "usedSoftware", "run", "engine", "one"),
         M.edge_frame(as_crate(procs), "isPartOf", "software", "workflow"),
@@ -171,7 +172,7 @@ def build_provenance(log: M.RunLog, naan: str = X.DEFAULT_NAAN, patterns: list[s
                                           "crate_id", F.lit(")")),
                      props=M.json_map(command=q("command"), runBy=q("author"), identifier=q("crate_id"),
                                       startTime=q("start_ts"), endTime=q("complete_ts"), dateCreated=q("start_ts")))
-    t = as_crate(tasks.join(about, "session_id"))
+    t = as_crate(join_facts(tasks, about, ["session_id"], "comp"))
     task_comp = frame(t, "task", entity_id=F.col("comp"), pos=F.col("seq"), types=M.strings(M.ACTIVITY_TYPES),
                       name=F.col("task_name"), description=F.concat(
                           F.lit("Workflow task '"), "task_name", F.lit("' (process "), "process", F.lit(")")),
@@ -209,7 +210,7 @@ def build_provenance(log: M.RunLog, naan: str = X.DEFAULT_NAAN, patterns: list[s
                     props=M.json_map(author=q(R.first_given(R.annotation("ext", "softwareAuthor"), "author")),
                                      version=q(R.first_given(R.annotation("ext", "softwareVersion"), "reported", "version")),
                                      containerImage=q("container")))
-    f = files.join(about, "session_id").withColumn("shown", F.coalesce("target", "first_path"))
+    f = join_facts(files, about, ["session_id"], "ark").withColumn("shown", F.coalesce("target", "first_path"))
     inherited = None
     if expanded is not None:
         part = R.with_dataset_ark(expanded.select("session_id", "path", "dir"), alias, naan) \
@@ -248,8 +249,8 @@ def build_provenance(log: M.RunLog, naan: str = X.DEFAULT_NAAN, patterns: list[s
                               description=F.concat(F.lit("Container image '"), "image", F.lit("' used by the workflow run '"),
                                                    "run_name", F.lit("'")),
                               props=M.json_map(containerImage=q("image"), containerDigest=q("digest"), containerImageId=q("image_id"))))
-        edges.append(M.edge_frame(as_crate(tasks.join(
-            img.select("session_id", F.col("image").alias("container"), "container_ark"), ["session_id", "container"])),
+        edges.append(M.edge_frame(as_crate(join_facts(
+            tasks, img.select("session_id", F.col("image").alias("container"), "container_ark"), ["session_id", "container"], "comp")),
             "usedContainer", "comp", "container_ark"))
     if schema_docs is not None:
         s = R.with_dataset_ark(schema_docs.select("session_id", "path"), alias, naan).withColumn(
@@ -266,7 +267,7 @@ def build_provenance(log: M.RunLog, naan: str = X.DEFAULT_NAAN, patterns: list[s
                               name=X.basename("path"), formats=M.strings(["workflow-config"]), content_url=F.col("copied_to")))
     everything = cut(_union(entities), "entities")
     # the root lists everything but itself and the descriptor
-    parts = everything.where(F.col("pos") >= 2 * M.SECTION).select("crate_id", "entity_id") \
-        .join(r.select("crate_id", "root"), "crate_id")
+    parts = join_facts(everything.where(F.col("pos") >= 2 * M.SECTION).select("crate_id", "entity_id"),
+                       r.select("crate_id", "root"), ["crate_id"], "entity_id")
     edges.append(M.edge_frame(parts, "hasPart", "root", "entity_id"))
     return M.Graph(everything, _union(edges))

@@ -80,11 +80,11 @@ def stream_runs(events: DataFrame, out: str, checkpoint: str, steps: dict[str, C
 def numbered_runs(events: DataFrame) -> DataFrame:
     """The user event table as run events: purchases close runs, success above a value.
 
-    The run number counts the purchases strictly before; hours are the blocks of the running
+    The run number counts the purchases strictly before; minutes are the blocks of the running
     count, so a user with a third of all events is still many tasks' work.
     """
     closes = F.when(F.col("event_type") == "purchase", 1).otherwise(0)
-    rows = running_sum(events, ["user_id"], ["ts", "event_id"], closes, F.date_trunc("hour", "ts"), "run")
+    rows = running_sum(events, ["user_id"], ["ts", "event_id"], closes, F.date_trunc("minute", "ts"), "run")
     kind = F.create_map(*[F.lit(x) for pair in (("view", TASK), ("error", TASK_FAILED), ("click", PUBLISH), ("signup", OUTPUT), ("purchase", COMPLETE))
                           for x in pair])
     return rows.select(
