@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_LOCAL_ROOTS: dict[str, str] = {}
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -23,9 +24,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="provlake-")
-    spark.conf.set(CHECKPOINT_CONF, root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="provlake-")
+    return _LOCAL_ROOTS[app]
 
 
 def workspace(spark: SparkSession, label: str) -> str:
