@@ -380,3 +380,32 @@ def _metadata(r):
 @register("refused_root_keys", f"""WITH {SRC} SELECT crate_id, 'hasPart' AS key FROM src UNION ALL SELECT crate_id, CASE WHEN k % 2 = 0 THEN '@id' ELSE 'conformsTo' END FROM src""")
 def refused_root_keys(spark, folder):
     return R.refused_root_keys(_metadata(roots(spark, folder)))
+
+
+def _json_documents(t):
+    """One crate document per source and block of 1000 documents, as JSON text."""
+    d = t.documents.withColumn("crate_id", F.concat("source", F.lit("/"), A.text(F.floor(F.col("doc_id") / 1000))))
+    doc = F.struct(F.concat(F.lit("doc-"), A.text("doc_id")).alias("@id"), F.array(F.lit("prov:Entity"), F.lit("https://w3id.org/EVI#Dataset")).alias("@type"),
+                   F.col("text").alias("name"), F.when(F.col("lang") != "es", F.col("lang")).alias("format"),
+                   F.when(F.col("lang") == "en", F.array(F.struct(F.concat(F.lit("step-"), "lang").alias("@id")))).alias("generatedBy"),
+                   F.when(F.col("lang") == "fr", F.array(F.lit("a text"))).alias("usedSoftware"), F.col("n_chars").alias("evi:size"))
+    head = F.array(F.lit('{"@id":"ro-crate-metadata.json","@type":"CreativeWork","about":{"@id":"root"}}'),
+                   F.lit('{"@id":"root","@type":["Dataset","https://w3id.org/EVI#ROCrate"],"name":null,"keywords":[]}'))
+    body = d.groupBy("crate_id").agg(F.sort_array(F.collect_list(F.struct("doc_id", F.to_json(doc).alias("json")))).alias("rows"))
+    return body.select("crate_id", F.concat(F.lit('{"@context":{},"@graph":['), F.array_join(
+        F.concat(head, F.transform("rows", lambda r: r["json"])), ","), F.lit("]}")).alias("json"))
+
+
+@register("crate_scan", """SELECT source || '/' || doc_id // 1000 AS crate_id, 'doc-' || doc_id AS entity_id, 'Dataset' AS norm_type, text AS name,
+        CASE WHEN lang = 'es' THEN 'unknown' ELSE lang END AS format, lang = 'en' AS has_generated_by, CASE lang WHEN 'en' THEN 'step-en' WHEN 'fr' THEN 'a text' END AS ref,
+        CASE lang WHEN 'en' THEN true WHEN 'fr' THEN false END AS is_object_ref FROM documents
+    UNION ALL SELECT DISTINCT source || '/' || doc_id // 1000, unnest(['root', 'ro-crate-metadata.json']), unnest(['Dataset', 'Other']), NULL, 'unknown', false,
+        unnest([NULL, 'root']), unnest([NULL, true]) FROM documents""")
+def crate_scan(spark, folder):
+    """Crate documents parsed into entities and edges."""
+    from provlake.functions.types import normal_type
+    from provlake.sources.crates import load_crates
+    g = load_crates(_json_documents(A.Tables(spark, folder)))
+    refs = g.edges.where("predicate in ('generatedBy', 'usedSoftware', 'about')").select("crate_id", F.col("src").alias("entity_id"), F.col("dst").alias("ref"), "is_object_ref")
+    return g.entities.join(refs, ["crate_id", "entity_id"], "left").select(
+        "crate_id", "entity_id", normal_type("types").alias("norm_type"), "name", S.normal_format("formats").alias("format"), "has_generated_by", "ref", "is_object_ref")

@@ -347,3 +347,54 @@ def graph_size(spark, folder):
     kind = F.regexp_extract(F.try_element_at("types", F.lit(-1)), "([A-Za-z]+)$", 1)
     return g.entities.groupBy("crate_id", kind.alias("what")).agg(F.count("*").alias("n")).unionByName(
         g.edges.groupBy("crate_id", F.col("predicate").alias("what")).agg(F.count("*").alias("n")))
+
+
+@register("graph_options", query("""SELECT session_id AS crate_id, what, n FROM (
+    SELECT session_id, unnest([{'what': 'schemas', 'n': count(*)}, {'what': 'schema links', 'n': count(*)}, {'what': 'remote inputs', 'n': count(*)},
+        {'what': 'remote uses', 'n': count(*)}, {'what': 'configs', 'n': 1}], recursive := true) FROM cust GROUP BY session_id
+    UNION ALL SELECT session_id, 'at v9', count(*) FROM procs WHERE process LIKE 'TRADE:ORDERS:%' GROUP BY ALL
+    UNION ALL SELECT session_id, 'copied', count(*) + 1 FROM procs WHERE process NOT LIKE 'TRADE:NATIONS:%' GROUP BY ALL)""", "cust", "procs"))
+def graph_options(spark, folder):
+    """Tool versions, copied workflow files, table schemas and parameter files in one graph."""
+    from provlake.functions.values import prop
+    t = A.Tables(spark, folder)
+    log = A.run_log(t)
+    reg = A.regions(t)
+    versions = log.processes.where("process like 'TRADE:ORDERS:%'").select("session_id", "process", F.lit("v9").alias("version"))
+    copies = reg.select("session_id", F.explode(F.create_map(F.lit("flows/trade.flow"), F.lit("workflow/trade.flow"), F.lit("flows/extra.config"),
+                                                             F.lit("workflow/extra.config"))).alias("path", "copied_to"))
+    tables = A.customers(t).select("session_id", A.path_of("customer", "c_custkey").alias("path"))
+    g = P.build_provenance(log, versions=versions, copies=copies, schema_docs=tables, read_params=True)
+    section = F.floor(F.col("pos") / F.lit(10 ** 15))
+    remote = F.startswith("content_url", F.lit("s3://"))
+    e = g.entities.select("crate_id", "entity_id", section.alias("s"), F.coalesce(remote, F.lit(False)).alias("remote"), prop("props", "version").alias("v"), "content_url")
+    what = F.when(F.col("s") == 9, "schemas").when(F.col("s") == 8, "configs").when(F.col("remote"), "remote inputs").when(F.col("v") == "v9", "at v9")
+    counts = e.select("crate_id", F.explode(F.array_compact(F.array(what, F.when(F.col("content_url") == "workflow/trade.flow", "copied")))).alias("what"))
+    used = g.edges.where("predicate = 'usedDataset'").select("crate_id", F.col("dst").alias("entity_id")).join(
+        e.where("remote").select("crate_id", "entity_id"), ["crate_id", "entity_id"]).select("crate_id", F.lit("remote uses").alias("what"))
+    links = g.edges.where("predicate = 'evi:schema'").select("crate_id", F.lit("schema links").alias("what"))
+    return counts.unionByName(used).unionByName(links).groupBy("crate_id", "what").agg(F.count("*").alias("n"))
+
+
+@register("staged_sources", query("""SELECT session_id || '/' || task_hash || '/' || path AS path, '/abs/' || path AS source FROM k_in
+    WHERE path NOT LIKE 'work/nation/%'""", "k_in"))
+def staged_sources(spark, folder):
+    """Inputs read back from launch scripts, one script per staged file; some are quoted."""
+    from provlake.sources.files import staged_sources as staged
+    z = resolved(spark, folder)
+    target = F.concat(F.lit("/abs/"), "path")
+    clause = F.when(F.endswith("path", F.lit(".json")), F.concat(F.lit("mkdir -p in && ln -s '"), target, F.lit("' in/x"))) \
+        .when(F.contains("path", F.lit("/nation/")), F.concat(F.lit("ln -s "), "path", F.lit(" x"))) \
+        .when(F.endswith("path", F.lit(".tsv")), F.concat(F.lit("cp -fRL "), target, F.lit(" x"))).otherwise(F.concat(F.lit("ln -s "), target, F.lit(" x")))
+    body = F.concat(F.lit("#!/bin/bash\nnxf_stage() {\n    true\n    "), clause, F.lit("\n}\nmain() {\n    ln -s /abs/no y\n}\n"))
+    return staged(z.inputs.select(F.concat("session_id", F.lit("/"), "task_hash", F.lit("/"), "path").alias("path"), body.alias("body")))
+
+
+@register("entity_lines", query("""SELECT crate_id, count(*)::BIGINT AS n_entities, (any_value(m) + 1)::BIGINT AS n_refs FROM ent
+    JOIN (SELECT crate_id, count(*) AS m FROM edge GROUP BY ALL) USING (crate_id) GROUP BY ALL""", "ent", "edge"))
+def entity_lines(spark, folder):
+    """Entities and references of the exported JSON lines."""
+    from provlake.sources.crates import entity_lines as lines
+    out = lines(graph(spark, folder))
+    refs = F.size(F.split("json", r'\{"@id":', -1)) - 2
+    return out.groupBy("crate_id").agg(F.count_if(F.col("part") == 0).alias("n_entities"), F.sum(refs).alias("n_refs"))

@@ -193,3 +193,17 @@ def trailing_collapse(spark, folder):
     props = T.collapse_trailing(T.property_rows(types.select("file", "col", name.alias("name")), types), threshold=4)
     docs = T.schema_documents(props).select("file", F.array_join("required", ",").alias("required"))
     return props.join(docs, "file").select("file", "name", "index", "type", "item_type", "span", "required")
+
+
+@register("inferred_schemas", """SELECT DISTINCT p_brand AS brand, unnest(['p_partkey', 'p_name', 'p_type', 'p_size', 'note']) AS name,
+    unnest(['integer', 'string', 'string', 'integer', 'any']) AS detected FROM part""")
+def inferred_schemas(spark, folder):
+    """Parts written as csv files and read back: every row of every file counts."""
+    from provlake.session import workspace
+    from provlake.sources.delimited import read_cells
+    home = workspace(spark, "part-files")
+    A.Tables(spark, folder).part.select("p_brand", "p_partkey", F.concat(F.lit('a "'), "p_name", F.lit('", x')).alias("p_name"), "p_type", "p_size",
+                                        F.lit("").alias("note")).write.partitionBy("p_brand").csv(home, header=True, escape='"', emptyValue="")
+    props = T.infer_schemas(read_cells(spark, home, sample_rows=None), sample_rows=None)
+    brand = F.replace(F.regexp_extract("file", "p_brand=([^/]*)", 1), F.lit("%23"), F.lit("#"))
+    return props.select(brand.alias("brand"), "name", "detected").distinct()

@@ -178,8 +178,14 @@ def build_provenance(log: M.RunLog, naan: str = X.DEFAULT_NAAN, patterns: list[s
                           F.lit("Workflow task '"), "task_name", F.lit("' (process "), "process", F.lit(")")),
                       props=M.json_map(command=q(X.trim_ws("script")), runBy=q("author"), identifier=q("task_hash"),
                                        dateCreated=q("start_ts"), containerImage=q("container")))
-    place = X.definition_locator("script_file", F.lit(None).cast("string"), "crate_dir")
-    workflow = frame(r, "workflow", entity_id=F.col("workflow"), types=M.strings(M.SOFTWARE_TYPES), name=F.col("run_name"),
+    w = runs
+    if copies is not None:
+        own = copies.select("session_id", F.col("path").alias("script_file"), F.col("copied_to").alias("script_copy"))
+        w = w.join(own, ["session_id", "script_file"], "left")
+    else:
+        w = w.withColumn("script_copy", F.lit(None).cast("string"))
+    place = X.definition_locator("script_file", "script_copy", "crate_dir")
+    workflow = frame(as_crate(w), "workflow", entity_id=F.col("workflow"), types=M.strings(M.SOFTWARE_TYPES), name=F.col("run_name"),
                      description=F.concat(F.lit("Workflow script for the run '"), "run_name", F.lit("'")),
                      formats=M.strings(["workflow"]), content_url=place["content_url"], local_path=place["local_path"],
                      props=M.json_map(author=q("author"), version=q("version")))
