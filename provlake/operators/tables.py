@@ -86,16 +86,16 @@ def type_race(values: DataFrame, rows: DataFrame, block_rows: int | None = None)
     blocks before, so a file of any length spreads over the cluster.
     """
     n_c = len(C.CANDIDATES)
-    scored = C.prepared(values.select("file", "col", "row", "cell")).select(
-        "file", "col", "row", F.when(F.col("cell") == "", 1).otherwise(0).alias("miss"), *scores("cell"))
     keys = ["file", "col"]
+    cells = values.select(*keys, "row", "cell")
     if block_rows is None:
         block = keys
     else:
-        # reading a cell costs far more than its score takes: score once, read the scores twice
-        with short_methods(values.sparkSession):
-            scored = cut(scored.withColumn("block", F.floor(F.col("row") / block_rows)), "scores")
+        # shuffled as text once: cells are scored where their block is summed, by many tasks
+        # even when the input is one file
         block = keys + ["block"]
+        cells = cells.withColumn("block", F.floor(F.col("row") / block_rows)).repartition(*block)
+    scored = C.prepared(cells).select(*block, "row", F.when(F.col("cell") == "", 1).otherwise(0).alias("miss"), *scores("cell"))
     upto = Window.partitionBy(*block).orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*block).orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     run = scored.select(*block, "row", F.sum("miss").over(upto).alias("miss"),
@@ -104,6 +104,9 @@ def type_race(values: DataFrame, rows: DataFrame, block_rows: int | None = None)
     run = run.select(*block, "row", "miss", *[f"s{i}" for i in range(n_c)],
                      *[F.min(f"s{i}").over(before).alias(f"m{i}") for i in range(n_c)])
     if block_rows is not None:
+        # block totals and rows both read the sums: take them once
+        with short_methods(values.sparkSession):
+            run = cut(run, "block-sums")
         offs = run.groupBy(*block).agg(
             F.max_by("miss", "row").alias("b_miss"), *[F.max_by(f"s{i}", "row").alias(f"t{i}") for i in range(n_c)],
             *[F.min(f"s{i}").alias(f"l{i}") for i in range(n_c)])
@@ -122,8 +125,12 @@ def type_race(values: DataFrame, rows: DataFrame, block_rows: int | None = None)
     run = run.join(rows.select("file", "n_rows"), "file")
     winner = _winner(F.col("n_rows"), F.col("miss"), [F.col(f"s{i}") for i in range(n_c)],
                      [F.coalesce(F.col(f"m{i}"), F.lit(0)) for i in range(n_c)])
-    return run.select(*keys, "row", winner.alias("won")).groupBy(*keys).agg(
+    types = run.select(*keys, "row", winner.alias("won")).groupBy(*keys).agg(
         F.coalesce(F.min_by("won", F.when(F.col("won").isNotNull(), F.col("row"))), F.lit("any")).alias("source_type"))
+    if block_rows is None:
+        return types
+    with short_methods(values.sparkSession):
+        return cut(types, "types")
 
 
 def with_short_rows(cells: DataFrame, names: DataFrame) -> DataFrame:

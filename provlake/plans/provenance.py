@@ -115,16 +115,16 @@ def build_provenance(log: M.RunLog, naan: str = X.DEFAULT_NAAN, patterns: list[s
                      identities: DataFrame | None = None, versions: DataFrame | None = None,
                      expanded: DataFrame | None = None, schema_docs: DataFrame | None = None,
                      copies: DataFrame | None = None, read_params: bool = False,
-                     keep_self_use: bool = False) -> M.Graph:
+                     keep_self_use: bool = False, resolved: Resolved | None = None) -> M.Graph:
     """Entities and edges of every successful run.
 
     ``describe_files`` joins sizes and digests from the file listing, ``identities`` adds
     container entities, ``versions`` (session_id, process, version) are reported tool
     versions, ``expanded`` (session_id, path, dir) describes files inside published folders,
     ``schema_docs`` (session_id, path) adds schema entities, ``copies`` (session_id, path,
-    copied_to) are workflow files inside the crate.
+    copied_to) are workflow files inside the crate, ``resolved`` reuses what ``resolve`` wrote.
     """
-    z = resolve(log, naan, patterns)
+    z = resolved or resolve(log, naan, patterns)
     runs, tasks, alias = z.runs, z.tasks, z.alias
     used, made = uses(z, log, naan, read_params)
     if not keep_self_use:
