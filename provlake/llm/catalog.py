@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from provlake.llm import bpe, decontaminate
+from provlake.llm import bpe, decontaminate, sharding, vectors, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +22,18 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_documents(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_documents(_table(spark, folder, "documents"))
+
+
+def op8_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(_table(spark, folder, "embeddings"))
+
+
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(_table(spark, folder, "pages"))
+
+
 _WORDS_1 = r"coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
 
 SQL_1 = rf"""
@@ -40,8 +52,24 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit.n, 0)::BIGINT AS n_hi
 FROM d LEFT JOIN n_hit USING (doc_id) LEFT JOIN n_items USING (doc_id)
 """
 
+SQL_10 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS raw FROM pages),
+h AS (SELECT page_id, octet_length(raw) AS n, sha1(raw) AS hex FROM p),
+f AS (SELECT hex, min(page_id) AS first,
+             array_to_string(list_transform(range(32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + list_sum(list_transform(range(5), lambda j:
+                 (((strpos('0123456789abcdef', hex[1 + (i * 5 + j) // 4]) - 1) >> (3 - (i * 5 + j) % 4)) & 1) << (4 - j)))::INT]), '') AS digest
+      FROM h GROUP BY hex)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM h JOIN f USING (hex)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_bpe": op2_bpe,
+    "op4_shards": op4_shards,
+    "op8_vectors": op8_vectors,
+    "op10_warc": op10_warc,
 }
-SQL: dict[str, str] = {"op1_decontaminate": SQL_1}
+SQL: dict[str, str] = {"op1_decontaminate": SQL_1, "op10_warc": SQL_10}
