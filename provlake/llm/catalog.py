@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from provlake.llm import bpe, decontaminate, sharding, vectors, warc
+from provlake.llm import bpe, decontaminate, language, sharding, toxicity, vectors, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +26,14 @@ def op4_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, folder, "documents"))
 
 
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.predict_documents(_table(spark, folder, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxic_documents(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op8_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_vectors(_table(spark, folder, "embeddings"))
 
@@ -69,6 +77,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_bpe": op2_bpe,
     "op4_shards": op4_shards,
+    "op5_language": op5_language,
+    "op6_toxicity": op6_toxicity,
     "op8_vectors": op8_vectors,
     "op10_warc": op10_warc,
 }
