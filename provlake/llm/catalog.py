@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from provlake.llm import bpe, decontaminate, language, sharding, toxicity, vectors, warc
+from provlake.llm import bpe, decontaminate, jaccard, language, sharding, toxicity, vectors, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxic_documents(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op7_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_documents(_table(spark, folder, "documents"))
+
+
 def op8_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_vectors(_table(spark, folder, "embeddings"))
 
@@ -60,6 +64,18 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit.n, 0)::BIGINT AS n_hi
 FROM d LEFT JOIN n_hit USING (doc_id) LEFT JOIN n_items USING (doc_id)
 """
 
+SQL_7 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS x FROM p),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS MATERIALIZED (SELECT a, b FROM o JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 75 * (na.n + nb.n - k)),
+r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, (SELECT min(b) FROM r WHERE r.a = d.doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id)
+"""
+
 SQL_10 = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS raw FROM pages),
 h AS (SELECT page_id, octet_length(raw) AS n, sha1(raw) AS hex FROM p),
@@ -79,7 +95,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_shards": op4_shards,
     "op5_language": op5_language,
     "op6_toxicity": op6_toxicity,
+    "op7_jaccard": op7_jaccard,
     "op8_vectors": op8_vectors,
     "op10_warc": op10_warc,
 }
-SQL: dict[str, str] = {"op1_decontaminate": SQL_1, "op10_warc": SQL_10}
+SQL: dict[str, str] = {"op1_decontaminate": SQL_1, "op7_jaccard": SQL_7, "op10_warc": SQL_10}

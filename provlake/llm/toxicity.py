@@ -1,7 +1,7 @@
 """Toxicity by a chain of linear classifiers.
 
 The categories are predicted one after the other. Each model is a sparse logistic regression on
-the different words of a text (hashed), and from the second on also on the probabilities of the
+the different words of a text and their beginnings (hashed), and from the second on also on the probabilities of the
 categories before it. In training those probabilities are out-of-fold: a model that has not seen
 the document gives them, so a later model meets the same kind of input as in prediction.
 
@@ -24,17 +24,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from provlake.llm.linear import Examples, examples, margins, softmax, train
-from provlake.llm.words import ALNUM, pieces, words
+from provlake.llm.words import ALNUM, part_hashes, pieces, words
 from provlake.session import cut
 
 FEATURES, SAMPLE, FOLDS = 1 << 18, 10_000, 5
 CHAIN = ("low_quality", "toxic")
-_L1, _L2 = 3.0, 0.01
+#: Bytes of a word's beginning that are features of their own.
+PREFIXES = (4, 5, 6, 7, 8)
+_L1, _L2 = 6.0, 0.01
 
 
 def word_features(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Hashed different words of each text, and the beginnings of longer ones."""
     found = words(data, offsets, ALNUM)
-    index = (found.hash >> np.uint64(46)).astype(np.int64)
+    hashed = [found.hash, *(part_hashes(found, found.start, np.minimum(found.end, found.start + k)) + np.uint64(k) for k in PREFIXES)]
+    index = np.stack([(h >> np.uint64(46)).astype(np.int64) for h in hashed], axis=1)
     at = np.searchsorted(found.row, np.arange(len(offsets)))
     out = []
     for a, b in zip(at, at[1:], strict=False):

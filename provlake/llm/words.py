@@ -109,6 +109,17 @@ def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> Words:
     return Words(data, row, start, end, value)
 
 
+def part_hashes(found: Words, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of parts of the words, lower-cased; one part for each word, in order."""
+    out, at = [], 0
+    while at < len(start):
+        to = max(at + 1, int(np.searchsorted(found.end, found.start[at] + PIECE)))
+        low = _LOWER[found.data[found.start[at]:found.end[to - 1]]]
+        out.append(span_hashes(low, start[at:to] - found.start[at], end[at:to] - found.start[at]))
+        at = to
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
 def grams(value: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of every k words in a row of one text, and the index of their first word."""
     n = len(value) - k + 1
