@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from provlake.llm import bpe, decontaminate, jaccard, language, sharding, toxicity, vectors, warc
+from provlake.llm import bpe, decontaminate, jaccard, language, sharding, substring, toxicity, vectors, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_documents(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_substring(spark: SparkSession, folder: str) -> DataFrame:
+    return substring.repeated_passages(_table(spark, folder, "documents"))
+
+
 def op4_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, folder, "documents"))
 
@@ -92,6 +96,7 @@ FROM h JOIN f USING (hex)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_bpe": op2_bpe,
+    "op3_substring": op3_substring,
     "op4_shards": op4_shards,
     "op5_language": op5_language,
     "op6_toxicity": op6_toxicity,
