@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from provlake.llm import bpe, decontaminate, jaccard, language, sharding, substring, toxicity, vectors, warc
+from provlake.llm import bpe, decontaminate, jaccard, language, licenses, sharding, substring, toxicity, vectors, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -46,6 +46,10 @@ def op8_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_vectors(_table(spark, folder, "embeddings"))
 
 
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, folder, "documents"))
+
+
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(_table(spark, folder, "pages"))
 
@@ -102,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_jaccard": op7_jaccard,
     "op8_vectors": op8_vectors,
+    "op9_licenses": op9_licenses,
     "op10_warc": op10_warc,
 }
 SQL: dict[str, str] = {"op1_decontaminate": SQL_1, "op7_jaccard": SQL_7, "op10_warc": SQL_10}

@@ -118,7 +118,7 @@ def _fitted(idf: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
     yield pa.RecordBatch.from_arrays([pa.array(feature), pa.array(label), pa.array(np.concatenate([weight[at, c], bias, [t]]))], names=["feature", "lang", "weight"])
 
 
-def _predicted(shared, idf: np.ndarray, kept: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _predicted(shared, idf: np.ndarray, with_text: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names, weight, bias, t = shared.value
     for batch in batches:
         langs, scores = [], []
@@ -132,8 +132,8 @@ def _predicted(shared, idf: np.ndarray, kept: int, batches: Iterator[pa.RecordBa
             else:
                 langs += [UNKNOWN] * len(found)
                 scores += [0.0] * len(found)
-        yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                                         names=[*batch.schema.names[:kept], "lang_pred", "score"])
+        kept = batch if with_text else batch.drop_columns(["text"])
+        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*kept.schema.names, "lang_pred", "score"])
 
 
 def fold(doc_id: str = "doc_id"):
@@ -165,14 +165,14 @@ def train_languages(documents: DataFrame, sample: int = SAMPLE) -> tuple:
     return (names, weight, bias, t), idf
 
 
-def identify(documents: DataFrame, texts: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Learns from ``documents`` and adds lang_pred and score to every row of ``texts``."""
+def identify(documents: DataFrame, texts: DataFrame, keep: tuple[str, ...] = ("doc_id",), with_text: bool = False) -> DataFrame:
+    """Learns from ``documents`` and adds lang_pred and score to the named columns of every row of ``texts``."""
     model, idf = train_languages(documents)
     shared = documents.sparkSession.sparkContext.broadcast(model)  # FEATURES weights for each language
     own = texts.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keep)], "text")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema if f.name != "text") + ", lang_pred string, score double"
-    done = own.mapInArrow(partial(_predicted, shared, idf, len(keep)), schema)
-    return done.select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema if with_text or f.name != "text") + ", lang_pred string, score double"
+    done = own.mapInArrow(partial(_predicted, shared, idf, with_text), schema)
+    return done.select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)], *["text"] * with_text, "lang_pred", "score")
 
 
 def predict_documents(documents: DataFrame) -> DataFrame:
