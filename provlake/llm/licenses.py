@@ -11,8 +11,8 @@ The templates are a parameter and travel with the code; their number does not de
 
 Defined cases: null and empty texts match nothing; a template shorter than a shingle is one
 shingle of all its words, a template without words never matches; repeated rows each give their
-matches; equally full matches at one place give the first template by name; only doc_id and text
-are read.
+matches; of equally full matches at one place the longest stays, then the first template by name;
+only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -134,10 +134,10 @@ def _scan(texts: dict[str, str], contained: float, sure: float, batches: Iterato
                         own = place[found.row[place] == row]
                         share = len(set(value[start:start + width][inside][found.row[place] == row].tolist()))
                         if share >= templates.need[t]:
-                            matches.setdefault(int(row), []).append((-share / len(templates.sets[t]), templates.names[t], int(own.min() - begin[row]), int(own.max() - begin[row]) + k))
+                            matches.setdefault(int(row), []).append((-share / len(templates.sets[t]), -share, templates.names[t], int(own.min() - begin[row]), int(own.max() - begin[row]) + k))
             for row, some in matches.items():
                 taken: list[tuple[int, int]] = []
-                for less, name, lo, hi in sorted(set(some)):
+                for less, _, name, lo, hi in sorted(set(some)):
                     if all(hi <= a or lo >= b for a, b in taken):
                         taken.append((lo, hi))
                         out.append((ids[at + row].as_py(), name, lo, hi, -less))
