@@ -64,6 +64,14 @@ def strip_script_delimiters(source) -> Column:
     return F.regexp_replace(col(source), r"""(?s)\A(.*?)(\"{3}|'{3})(.*)\2\s*\z""", "$1$3")
 
 
+def unindent(source) -> Column:
+    """The text without the blanks that all its lines with content begin with."""
+    lines = F.split(col(source), "\n", -1)
+    lead = F.transform(F.filter(lines, lambda s: s.rlike(r"\S")), lambda s: F.length(F.regexp_extract(s, r"\A[ \t]*", 0)))
+    cut = F.coalesce(F.array_min(lead), F.lit(0))
+    return F.array_join(F.transform(lines, lambda s: F.substr(s, cut + 1, F.length(s))), "\n")
+
+
 def unquote(value) -> Column:
     v = trim_ws(value)
     return F.regexp_replace(v, r"""(?s)\A(["'])(.*)\1\z""", "$2")

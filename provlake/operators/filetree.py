@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from provlake.functions import text as X
 from provlake.operators.skew import first_k
 
-# Media types by extension, and the cap on files described per folder.
+# Media types by extension.
 MEDIA_TYPES = {
     "bz2": "application/x-bzip2", "css": "text/css", "csv": "text/csv", "gif": "image/gif",
     "gz": "application/gzip", "htm": "text/html", "html": "text/html", "jpeg": "image/jpeg",
@@ -18,7 +18,6 @@ MEDIA_TYPES = {
     "txt": "text/plain", "xml": "application/xml", "yaml": "application/yaml", "yml": "application/yaml",
     "zip": "application/zip",
 }
-EXPAND_MAX_FILES = 1000
 
 
 def media_type(path, table: dict[str, str] | None = None) -> Column:
@@ -52,18 +51,17 @@ def tree_sizes(files: DataFrame, folders: DataFrame | None = None) -> DataFrame:
 
 
 def expand_folders(files: DataFrame, folders: DataFrame, patterns: list[str] | None = None,
-                   max_files: int = EXPAND_MAX_FILES) -> tuple[DataFrame, DataFrame]:
-    """The first files of each published folder by path, and how many were left out.
+                   max_files: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The files of each published folder, and how many were left out.
 
-    The cap is part of the operator; what it leaves out is reported per folder.
+    All files unless ``max_files`` asks for the first so many of each folder by path.
     """
     inside = in_folders(files.where(~F.col("is_dir") & X.matches_globs("path", patterns or [])), folders)
     inside = inside.select("session_id", "dir", "path")
     totals = inside.groupBy("session_id", "dir").agg(F.count("*").alias("n_files"))
-    kept = first_k(inside, ["session_id", "dir"], "path", max_files)
-    dropped = totals.select("session_id", "dir", "n_files", F.greatest(
-        F.col("n_files") - max_files, F.lit(0)).alias("n_dropped"))
-    return kept, dropped
+    kept = inside if max_files is None else first_k(inside, ["session_id", "dir"], "path", max_files)
+    over = F.lit(0) if max_files is None else F.greatest(F.col("n_files") - max_files, F.lit(0))
+    return kept, totals.select("session_id", "dir", "n_files", over.cast("bigint").alias("n_dropped"))
 
 
 def leftover_outputs(files: DataFrame, staged: DataFrame) -> DataFrame:

@@ -13,14 +13,13 @@ from pyspark.sql import functions as F
 
 from provlake.functions import cells as C
 from provlake.functions.text import trim_ws
+from provlake.operators.skew import join_facts
 from provlake.session import cut, short_methods
 
-# Sample size, confidence, comment character and the longest preamble.
-SAMPLE_ROWS = 100
+# Confidence and comment character.
 BLOCK_ROWS = 10_000
 CONFIDENCE = 0.9
 COMMENT_CHAR = "#"
-MAX_COMMENT_ROWS = 50
 
 
 def header_names(header: DataFrame) -> DataFrame:
@@ -32,29 +31,27 @@ def header_names(header: DataFrame) -> DataFrame:
     return named.select("file", "col", F.when(nth > 1, F.concat("base", nth)).otherwise(F.col("base")).alias("name"))
 
 
-def first_data_rows(records: DataFrame, comment_char: str = COMMENT_CHAR,
-                    max_rows: int = MAX_COMMENT_ROWS) -> DataFrame:
+def first_data_rows(records: DataFrame, comment_char: str = COMMENT_CHAR) -> DataFrame:
     """(file, row, width, first) -> (file, header_row): the row the header is on.
 
-    Only the leading ``max_rows`` + 1 rows of a file are looked at, so the per-file window
-    is bounded. A file of comments only has no header row.
+    A marked row counts as header if the row after it is as wide. Rows meet their successor by a
+    join on file and row, so a file of any length is many tasks' work. A file of comments only
+    has no header row.
     """
-    head = records.where(F.col("row") <= max_rows)
-    w = Window.partitionBy("file").orderBy("row")
-    next_width = F.lead("width").over(w)
-    marked = F.startswith(F.coalesce("first", F.lit("")), F.lit(comment_char)) if comment_char else F.lit(False)
-    bed_header = next_width.isNotNull() & (F.col("width") > 1) & (F.col("width") == next_width)
-    flagged = head.select("file", "row", (marked & ~bed_header & (F.col("row") < max_rows)).alias("comment"))
-    return flagged.where(~F.col("comment")).groupBy("file").agg(F.min("row").alias("header_row"))
+    if not comment_char:
+        return records.groupBy("file").agg(F.min("row").alias("header_row"))
+    marked = F.startswith(F.coalesce("first", F.lit("")), F.lit(comment_char))
+    after = records.select("file", (F.col("row") - 1).alias("row"), F.col("width").alias("next_width"))
+    bed = records.where(marked & (F.col("width") > 1)).join(after, ["file", "row"]).where("width = next_width").select("file", "row")
+    return records.where(~marked).select("file", "row").unionByName(bed).groupBy("file").agg(F.min("row").alias("header_row"))
 
 
-def drop_preamble(cells: DataFrame, comment_char: str = COMMENT_CHAR,
-                  max_rows: int = MAX_COMMENT_ROWS) -> DataFrame:
+def drop_preamble(cells: DataFrame, comment_char: str = COMMENT_CHAR) -> DataFrame:
     """Cells without comment rows, rows renumbered so that the header is row 0."""
-    records = cells.where(F.col("row") <= max_rows).groupBy("file", "row").agg(
+    records = cells.groupBy("file", "row").agg(
         F.count("*").alias("width"), F.max(F.when(F.col("col") == 0, F.col("cell"))).alias("first"))
-    header = first_data_rows(records, comment_char, max_rows)
-    return cells.join(header, "file").where(F.col("row") >= F.col("header_row")).select(
+    header = first_data_rows(records, comment_char)
+    return join_facts(cells, header, ["file"], "row").where(F.col("row") >= F.col("header_row")).select(
         "file", (F.col("row") - F.col("header_row")).alias("row"), "col", "cell")
 
 
@@ -122,7 +119,7 @@ def type_race(values: DataFrame, rows: DataFrame, block_rows: int | None = None)
             *[(F.col(f"s{i}") + F.col(f"o{i}")).alias(f"s{i}") for i in range(n_c)],
             *[F.least(F.col(f"p{i}"), F.col(f"m{i}") + F.col(f"o{i}"), F.col(f"o{i}")).alias(f"m{i}")
               for i in range(n_c)])
-    run = run.join(rows.select("file", "n_rows"), "file")
+    run = join_facts(run, rows.select("file", "n_rows"), ["file"], "row")
     winner = _winner(F.col("n_rows"), F.col("miss"), [F.col(f"s{i}") for i in range(n_c)],
                      [F.coalesce(F.col(f"m{i}"), F.lit(0)) for i in range(n_c)])
     types = run.select(*keys, "row", winner.alias("won")).groupBy(*keys).agg(
@@ -149,9 +146,9 @@ def property_rows(names: DataFrame, types: DataFrame) -> DataFrame:
         source.alias("detected"))
 
 
-def infer_schemas(cells: DataFrame, sample_rows: int | None = SAMPLE_ROWS, comment_char: str = COMMENT_CHAR) -> DataFrame:
-    """Property rows per file from raw cells: preamble, header, sample, race. Without a sample
-    every row counts, in blocks."""
+def infer_schemas(cells: DataFrame, sample_rows: int | None = None, comment_char: str = COMMENT_CHAR) -> DataFrame:
+    """Property rows per file from raw cells: preamble, header, race. Every row counts, in blocks;
+    with ``sample_rows`` only that many first rows do."""
     body = drop_preamble(cells, comment_char)
     if sample_rows is not None:
         body = body.where(F.col("row") <= sample_rows)

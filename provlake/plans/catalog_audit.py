@@ -268,18 +268,18 @@ PAIRS_CTE = """opened AS (SELECT conv_id, turn, length(text) AS n, max(CASE WHEN
 
 @register("tool_versions", f"WITH {PAIRS_CTE} SELECT conv_id::VARCHAR AS file, process, tool, version FROM pairs")
 def tool_versions(spark, folder):
-    return V.version_pairs(V.small_files(_version_lines(A.Tables(spark, folder)))).select("file", "process", "tool", "version")
+    return V.version_pairs(_version_lines(A.Tables(spark, folder))).select("file", "process", "tool", "version")
 
 
 @register("version_texts", f"WITH {PAIRS_CTE} SELECT conv_id::VARCHAR AS file, process, string_agg(tool || ' ' || version, ', ' ORDER BY tool) AS version FROM pairs GROUP BY conv_id, process")
 def version_texts(spark, folder):
-    pairs = V.version_pairs(V.small_files(_version_lines(A.Tables(spark, folder))))
+    pairs = V.version_pairs(_version_lines(A.Tables(spark, folder)))
     return V.version_texts(pairs, ["file", "process"], "first_line")
 
 
 @register("merged_versions", f"WITH {PAIRS_CTE} SELECT process, tool, arg_max(version, conv_id) AS version FROM pairs GROUP BY ALL")
 def merged_versions(spark, folder):
-    pairs = V.version_pairs(V.small_files(_version_lines(A.Tables(spark, folder)))).withColumn("file_seq", F.col("file").cast("bigint"))
+    pairs = V.version_pairs(_version_lines(A.Tables(spark, folder))).withColumn("file_seq", F.col("file").cast("bigint"))
     return V.merged_versions(pairs).select("process", "tool", "version")
 
 

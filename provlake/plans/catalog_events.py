@@ -37,16 +37,17 @@ def run_numbers(spark, folder):
     return S.numbered_runs(A.Tables(spark, folder).events).select("event_id", "session_id")
 
 
-@register("streamed_runs", f"WITH {NUMBERED}, r AS ({RUNS}) SELECT * FROM r WHERE n_tasks + n_published + n_outputs > 0")
+@register("streamed_runs", f"WITH {NUMBERED} {RUNS}")
 def streamed_runs(spark, folder):
     """The same log, read as a stream of files and released by completions."""
     home = workspace(spark, "events")
     S.numbered_runs(A.Tables(spark, folder).events).repartitionByRange(8, "ts", "event_id").write.parquet(f"{home}/log")
     events = spark.readStream.schema(S.EVENT_SCHEMA).option("maxFilesPerTrigger", 3).parquet(f"{home}/log")
     S.stream_runs(events, f"{home}/out", f"{home}/state", lateness="40 days", longest_run="40 days", salts=4).awaitTermination()
-    table = lambda name: spark.read.parquet(f"{home}/out/{name}").groupBy("session_id").agg(F.count("*").alias("n"))
-    counts = None
+    tables = S.read_tables(spark, f"{home}/out")
+    table = lambda name: tables[name].groupBy("session_id").agg(F.count("*").alias("n"))
+    counts = tables["runs"].select("session_id")
     for name, column in (("tasks", "n_tasks"), ("publishes", "n_published"), ("workflow_outputs", "n_outputs")):
         one = table(name).withColumnRenamed("n", column)
-        counts = one if counts is None else counts.join(one, "session_id", "full_outer")
+        counts = counts.join(one, "session_id", "left")
     return counts.select("session_id", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_tasks", "n_published", "n_outputs")])

@@ -294,17 +294,33 @@ def projected_edges(spark, folder):
     return job(spark, folder).edges.select("crate_id", "src", "dst")
 
 
-@register("acyclic_core", query("""SELECT a.crate_id, a.src, a.dst FROM e a JOIN e b ON a.crate_id = b.crate_id AND a.src = b.dst AND a.dst = b.src""",
-                                "k_in", "made", "r_in", "run", extra={"e": f"""
-    SELECT session_id AS crate_id, comp AS src, {data_ark('path')} AS dst FROM k_in
-    UNION SELECT session_id, run, {data_ark('path')} FROM r_in JOIN run USING (session_id)
-    UNION SELECT session_id, ark, comp FROM made"""}))
+# Orders point to their customer, a customer to the nation of the next key and a nation back to
+# some customers: cycles of two and three nodes, edges between cycles, and long tails on both sides.
+CORE_CTE = {"e": """SELECT DISTINCT crate_id, src, dst FROM (
+        SELECT 'all' AS crate_id, 'o' || o_orderkey AS src, 'c' || o_custkey AS dst FROM orders
+        UNION ALL SELECT 'all', 'c' || c_custkey, 'n' || c_nationkey FROM customer
+        UNION ALL SELECT 'all', 'n' || n_nationkey, 'c' || n_nationkey FROM nation
+        UNION ALL SELECT 'all', 'c' || c_custkey, 'o' || o_orderkey FROM orders JOIN customer ON c_custkey = o_custkey AND o_orderkey % 50 = 0
+        UNION ALL SELECT 'all', 'n' || n_nationkey, 'r' || n_regionkey FROM nation)""",
+            # what lies on a cycle (of two nodes, or through a nation), or between two: reached from one and reaching one
+            "back": "SELECT DISTINCT src AS a, dst AS b FROM e",
+            "tour": "SELECT a, b FROM back WHERE a LIKE 'n%' UNION SELECT tour.a, back.b FROM tour JOIN back ON back.a = tour.b",
+            "near": "SELECT a.a AS x FROM back a JOIN back b ON b.a = a.b AND b.b = a.a UNION SELECT a FROM tour WHERE a = b",
+            "down": "SELECT x FROM near UNION SELECT b FROM down JOIN back ON a = x",
+            "up": "SELECT x FROM near UNION SELECT a FROM up JOIN back ON b = x"}
+
+
+@register("acyclic_core", query("""SELECT DISTINCT crate_id, src, dst FROM e WHERE src IN (SELECT x FROM up) AND dst IN (SELECT x FROM up)
+    AND src IN (SELECT x FROM down) AND dst IN (SELECT x FROM down)""", extra=CORE_CTE, recursive=True))
 def acyclic_core(spark, folder):
-    """What is cyclic when a run may use what it published."""
-    used, made = P.uses(resolved(spark, folder), A.run_log(A.Tables(spark, folder)))
-    edges = used.select(F.col("session_id").alias("crate_id"), F.col("comp").alias("src"), F.col("ark").alias("dst")).unionByName(
-        made.select(F.col("session_id").alias("crate_id"), F.col("ark").alias("src"), F.col("comp").alias("dst")))
-    return W.acyclic_core(edges)
+    """What is left of a graph when ends and beginnings are peeled off: its cycles and the ways between them."""
+    t = A.Tables(spark, folder)
+    name = lambda letter, c: F.concat(F.lit(letter), F.col(c).cast("string"))
+    nodes = lambda df, a, x, b, y: df.select(F.lit("all").alias("crate_id"), name(a, x).alias("src"), name(b, y).alias("dst"))
+    edges = nodes(t.orders, "o", "o_orderkey", "c", "o_custkey").unionByName(nodes(t.customer, "c", "c_custkey", "n", "c_nationkey")) \
+        .unionByName(nodes(t.nation, "n", "n_nationkey", "c", "n_nationkey")).unionByName(nodes(t.nation, "n", "n_nationkey", "r", "n_regionkey")) \
+        .unionByName(nodes(t.orders.where("o_orderkey % 50 = 0").join(t.customer.select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_semi"), "c", "o_custkey", "o", "o_orderkey"))
+    return W.acyclic_core(edges.distinct())
 
 
 NEAR_CTE = {

@@ -302,7 +302,7 @@ EXPAND_SQL = """ranked AS (SELECT session_id, dir, path, row_number() OVER (PART
 @register("expand_cap", query(f"SELECT session_id, dir, path FROM (WITH {EXPAND_SQL} SELECT * FROM ranked WHERE r <= 1000)", "t_in", "cust"))
 def expand_cap(spark, folder):
     t = A.Tables(spark, folder)
-    kept_files, _ = filetree.expand_folders(A.files(t), _folders(t), ["**.csv"])
+    kept_files, _ = filetree.expand_folders(A.files(t), _folders(t), ["**.csv"], max_files=1000)
     return kept_files.select("session_id", "dir", "path")
 
 

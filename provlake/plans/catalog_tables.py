@@ -204,6 +204,6 @@ def inferred_schemas(spark, folder):
     home = workspace(spark, "part-files")
     A.Tables(spark, folder).part.select("p_brand", "p_partkey", F.concat(F.lit('a "'), "p_name", F.lit('", x')).alias("p_name"), "p_type", "p_size",
                                         F.lit("").alias("note")).write.partitionBy("p_brand").csv(home, header=True, escape='"', emptyValue="")
-    props = T.infer_schemas(read_cells(spark, home, sample_rows=None), sample_rows=None)
+    props = T.infer_schemas(read_cells(spark, home))
     brand = F.replace(F.regexp_extract("file", "p_brand=([^/]*)", 1), F.lit("%23"), F.lit("#"))
     return props.select(brand.alias("brand"), "name", "detected").distinct()

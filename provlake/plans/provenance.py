@@ -208,7 +208,7 @@ def build_provenance(log: M.RunLog, naan: str = X.DEFAULT_NAAN, patterns: list[s
                     name=R.first_given(R.annotation("ext", "softwareName"), "process"),
                     description=X.ensure_description(
                         R.first_given(R.annotation("ext", "softwareDescription"),
-                                      X.trim_ws(X.strip_script_delimiters("body"))),
+                                      X.trim_ws(X.unindent(X.strip_script_delimiters("body")))),
                         F.concat(F.lit("Workflow process '"), "process", F.lit("' defined in "), "script_path")),
                     formats=F.array(R.first_given(R.annotation("ext", "softwareFormat"), F.lit("workflow"))),
                     content_url=F.coalesce(url, away["content_url"]),
@@ -273,7 +273,7 @@ def build_provenance(log: M.RunLog, naan: str = X.DEFAULT_NAAN, patterns: list[s
                               name=X.basename("path"), formats=M.strings(["workflow-config"]), content_url=F.col("copied_to")))
     everything = cut(_union(entities), "entities")
     # the root lists everything but itself and the descriptor
-    parts = join_facts(everything.where(F.col("pos") >= 2 * M.SECTION).select("crate_id", "entity_id"),
+    parts = join_facts(everything.where(F.col("pos") >= 2 * M.SECTION).select("crate_id", "entity_id", "pos"),
                        r.select("crate_id", "root"), ["crate_id"], "entity_id")
-    edges.append(M.edge_frame(parts, "hasPart", "root", "entity_id"))
+    edges.append(M.edge_frame(parts, "hasPart", "root", "entity_id", ord_col="pos"))
     return M.Graph(everything, _union(edges))

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from provlake.operators.filetree import is_tabular
-from provlake.operators.tables import MAX_COMMENT_ROWS, SAMPLE_ROWS
 
 CELLS = "file string, row int, col int, cell string"
 
@@ -28,13 +27,12 @@ def parse_records(text: str, delimiter: str, limit: int | None = None) -> Iterat
         yield record or [""]
 
 
-def read_cells(spark: SparkSession, path: str, sample_rows: int | None = SAMPLE_ROWS) -> DataFrame:
+def read_cells(spark: SparkSession, path: str, max_records: int | None = None) -> DataFrame:
     """Cells of every csv/tsv file below ``path``, one file per task step.
 
-    Quoting makes a file sequential, so the file is the unit of parallelism. With a sample
-    only the first records are parsed: the sample, its header and the comment allowance.
+    Quoting makes a file sequential, so the file is the unit of parallelism. With
+    ``max_records`` only that many records of a file are parsed, preamble and header included.
     """
-    limit = None if sample_rows is None else sample_rows + 1 + MAX_COMMENT_ROWS
     csv.field_size_limit(1 << 30)
 
     def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -43,7 +41,7 @@ def read_cells(spark: SparkSession, path: str, sample_rows: int | None = SAMPLE_
             for file, content in zip(batch["path"], batch["content"]):
                 delimiter = "\t" if file.lower().endswith(".tsv") else ","
                 rows = []
-                for r, record in enumerate(parse_records(bytes(content).decode("utf-8", "replace"), delimiter, limit)):
+                for r, record in enumerate(parse_records(bytes(content).decode("utf-8", "replace"), delimiter, max_records)):
                     rows += [(file, r, c, cell) for c, cell in enumerate(record)]
                     if len(rows) > 100_000:
                         yield pd.DataFrame(rows, columns=["file", "row", "col", "cell"])

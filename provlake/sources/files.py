@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import hashlib
-import shlex
+import re
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The staging function of a launch script and the launch line of its image.
 STAGE_FUNCTION = "nxf_stage"
 LAUNCH_IMAGE = r"(?:docker|podman) run .*?\s(\S+)\s+/bin/(?:bash|sh)"
-BIG_FILE = 1 << 31
+#: The largest content a row can hold; larger files are read in pieces.
+ROW_BYTES = (1 << 31) - 1024
 
 
 def listing(spark: SparkSession, path: str) -> DataFrame:
@@ -22,29 +23,31 @@ def listing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
 
 
-def checksums(spark: SparkSession, path: str) -> DataFrame:
-    """(path, md5) of every file that fits a row; larger ones go through ``stream_checksums``."""
+def checksums(spark: SparkSession, path: str, row_bytes: int = ROW_BYTES) -> DataFrame:
+    """(path, md5) of every file: inside the JVM where a file fits a row, else read as a stream."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.where(F.col("length") < BIG_FILE).select("path", F.md5("content").alias("md5"))
+    small = files.where(F.col("length") <= row_bytes).select("path", F.md5("content").alias("md5"))
+    return small.unionByName(stream_checksums(files.where(F.col("length") > row_bytes).select("path")))
 
 
 def stream_checksums(paths: DataFrame, column: str = "path") -> DataFrame:
-    """(path, md5) by streaming each file once, for files too large for a row; null when a
-    file cannot be read. Paths must be readable from the executors."""
-    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(path, md5) by reading each file once in pieces, through pyarrow's file systems; null when
+    a file cannot be read."""
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for path in batch["path"]:
-                h = hashlib.md5()
+            for path in batch.column(0).to_pylist():
                 try:
-                    with open(path.removeprefix("file:"), "rb") as f:
-                        while chunk := f.read(1 << 20):
-                            h.update(chunk)
-                    out.append((path, h.hexdigest()))
+                    store, own = fs.FileSystem.from_uri(re.sub(r"\Afile:/*", "file:///", path))
+                    found = hashlib.md5()
+                    with store.open_input_stream(own, compression=None) as f:
+                        while piece := f.read(1 << 20):
+                            found.update(piece)
+                    out.append(found.hexdigest())
                 except OSError:
-                    out.append((path, None))
-            yield pd.DataFrame(out, columns=["path", "md5"])
-    return paths.select(F.col(column).alias("path")).distinct().mapInPandas(digest, "path string, md5 string")
+                    out.append(None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["path", "md5"])
+    return paths.select(F.col(column).alias("path")).distinct().mapInArrow(digest, "path string, md5 string")
 
 
 def read_traces(spark: SparkSession, path: str) -> DataFrame:
@@ -61,31 +64,31 @@ def read_scripts(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def shell_words(clauses: pd.Series) -> pd.Series:
-    """Words of a shell clause with its quoting resolved; empty when it does not parse."""
-    def words(text):
-        try:
-            return shlex.split(text or "")
-        except ValueError:
-            return []
-    return clauses.map(words)
+def shell_words(clause) -> Column:
+    """Words of a shell clause with its quoting resolved; empty when a quote stays open.
+
+    A word is a run of plain characters, escapes and quoted parts; inside double quotes a
+    backslash escapes only a quote or a backslash.
+    """
+    c = F.col(clause) if isinstance(clause, str) else clause
+    part = r"""(?:[^\s'"\\]|\\(?s:.)|'[^']*+'|"(?:[^"\\]|\\(?s:.))*+")"""
+    found = F.regexp_extract_all(c, F.lit(f"({part}++)"), F.lit(1))
+    first = lambda p: F.substring(p, 1, 1)
+    inner = lambda p: F.substr(p, F.lit(2), F.length(p) - 2)
+    plain = lambda p: F.when(first(p) == "'", inner(p)).when(first(p) == '"', F.regexp_replace(inner(p), r'\\(["\\])', "$1")) \
+        .when(first(p) == "\\", F.substr(p, F.lit(2), F.length(p))).otherwise(p)
+    words = F.transform(found, lambda w: F.array_join(F.transform(F.regexp_extract_all(w, F.lit(f"({part})"), F.lit(1)), plain), ""))
+    return F.when(c.rlike(rf"\A(?:\s|{part})*+\z"), words).otherwise(F.array().cast("array<string>"))
 
 
 def staged_sources(scripts: DataFrame, function: str = STAGE_FUNCTION) -> DataFrame:
     """(path, source): absolute files a launch script links or copies into its task folder.
-
-    Clauses without quotes or backslashes split on blanks in the JVM; only quoted ones go
-    through Python.
     """
     block = F.regexp_extract("body", rf"(?ms)^{function}\(\) \{{\n(.*?)^\}}", 1)
     lines = scripts.select("path", F.explode(F.split(block, "\n")).alias("line"))
     clauses = lines.select("path", F.explode(F.split("line", "&&")).alias("clause")).withColumn(
         "clause", F.trim("clause")).where(F.col("clause").rlike(r"\A(ln|cp)\s"))
-    quoted = F.col("clause").rlike(r"""["'\\#]""")
-    plain = clauses.where(~quoted).select("path", F.split("clause", r"\s+").alias("w"))
-    hard = clauses.where(quoted).select("path", shell_words("clause").alias("w"))
-    w = plain.unionByName(hard)
+    w = clauses.select("path", shell_words("clause").alias("w"))
     source = F.when((F.get("w", F.lit(0)) == "ln") & (F.size("w") >= 4) & (F.get("w", F.lit(1)) == "-s"), F.get("w", F.lit(2))) \
         .when((F.get("w", F.lit(0)) == "cp") & (F.size("w") >= 3), F.try_element_at("w", F.lit(-2)))
     return w.select("path", source.alias("source")).where(F.startswith("source", F.lit("/")))

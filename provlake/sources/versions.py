@@ -7,35 +7,39 @@ from pyspark.sql import functions as F
 
 from provlake.functions import text as X
 
-# Largest file read, name of a process's own file, pattern of collated files.
-MAX_SIZE = 1024 * 1024
+# Name of a process's own file, pattern of collated files.
+BLOCK_LINES = 10_000
 OWN_NAME = "versions.yml"
 COLLATED = r"(?is)\A.*versions.*\.ya?ml\z"
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no, line) of the text files that are small enough to be version files."""
+    """(file, line_no, line) of the text files below a folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.where(F.col("length") <= MAX_SIZE).select(
+    return files.select(
         F.col("path").alias("file"), F.posexplode(F.split(F.decode("content", "UTF-8"), r"\r\n|\r|\n")).alias("line_no", "line"))
 
 
-def small_files(lines: DataFrame, max_size: int = MAX_SIZE) -> DataFrame:
-    """Lines of files up to the size limit, which bounds the per-file window below."""
-    ok = lines.groupBy("file").agg(F.sum(F.octet_length("line") + 1).alias("size")).where(F.col("size") <= max_size)
-    return lines.join(ok.select("file"), "file", "left_semi")
-
-
 def version_pairs(lines: DataFrame) -> DataFrame:
-    """(file, process, tool, version, first_line, last_line); a repeated tool keeps its last version."""
+    """(file, process, tool, version, first_line, last_line); a repeated tool keeps its last version.
+
+    The line that opens a process is carried to the lines after it inside blocks of lines and
+    from block to block, so a file of any length is many tasks' work.
+    """
     body = X.trim_ws("line")
     rows = lines.where((body != "") & ~F.startswith(body, F.lit("#")) & F.contains("line", F.lit(":")))
     key = X.unquote(F.substring_index("line", ":", 1))
     value = X.unquote(F.substr(F.col("line"), F.instr("line", ":") + 1))
     opens = ~F.col("line").rlike(r"\A\s")
     rows = rows.select("file", "line_no", key.alias("key"), value.alias("value"), opens.alias("opens"))
-    w = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("process", F.last(F.when(F.col("opens"), F.col("key")), ignorenulls=True).over(w))
+    rows = rows.withColumn("block", F.floor(F.col("line_no") / BLOCK_LINES))
+    inside = Window.partitionBy("file", "block").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    opened = F.when(F.col("opens"), F.col("key"))
+    blocks = rows.groupBy("file", "block").agg(F.max_by(opened, F.when(F.col("opens"), F.col("line_no"))).alias("last"))
+    blocks = blocks.select("file", "block", F.last("last", ignorenulls=True).over(earlier).alias("before"))
+    rows = rows.withColumn("process", F.last(opened, ignorenulls=True).over(inside)).join(blocks, ["file", "block"])
+    rows = rows.withColumn("process", F.coalesce("process", "before"))
     pairs = rows.where(~F.col("opens") & F.col("process").isNotNull() & (F.col("key") != "") & (F.col("value") != ""))
     return pairs.groupBy("file", "process", F.col("key").alias("tool")).agg(
         F.max_by("value", "line_no").alias("version"), F.min("line_no").alias("first_line"), F.max("line_no").alias("last_line"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from provlake.operators.running import running_sum
@@ -23,11 +23,12 @@ PUBLISH, OUTPUT, COMPLETE = "publish", "output", "complete"
 SALTS = 16
 
 
-def released_events(events: DataFrame, lateness: str = "10 minutes", longest_run: str = "7 days",
-                    salts: int = SALTS) -> DataFrame:
-    """Events of successfully completed runs, with ``complete_ts``.
+def released_events(events: DataFrame, lateness: str, longest_run: str, salts: int = SALTS) -> DataFrame:
+    """Events of successfully completed runs, with ``complete_ts``, and the completions themselves.
 
-    An event after its run's completion is never seen. Failed tasks are not kept.
+    An event after its run's completion is never seen. Failed tasks are not kept. ``lateness`` and
+    ``longest_run`` bound the state and have no default: what is later or longer is not released,
+    and the query's progress reports it as rows dropped by the watermark.
     """
     seen = events.withWatermark("ts", lateness)
     work = seen.where(~F.col("kind").isin(COMPLETE, TASK_FAILED)).select(
@@ -38,27 +39,48 @@ def released_events(events: DataFrame, lateness: str = "10 minutes", longest_run
     same = (F.col("session_id") == F.col("done_session")) & (F.col("salt") == F.col("done_salt"))
     in_run = (F.col("ts") <= F.col("complete_ts")) & (F.col("ts") >= F.col("complete_ts") - F.expr(f"interval {longest_run}"))
     before = (F.col("ts") < F.col("complete_ts")) | (F.col("event_id") < F.col("complete_id"))
-    return work.join(done, same & in_run & before).select("session_id", "event_id", "ts", "kind", "key", "value", "complete_ts")
+    kept = work.join(done, same & in_run & before).select("session_id", "event_id", "ts", "kind", "key", "value", "complete_ts")
+    ends = seen.where((F.col("kind") == COMPLETE) & F.col("success")).select("session_id", "event_id", "ts", "kind", "key", "value", F.col("ts").alias("complete_ts"))
+    return kept.union(ends)
+
+
+LAST = "struct(ts, event_id)"
 
 
 def run_tables(released: DataFrame) -> dict[str, DataFrame]:
-    """Tasks (each once), publishes (last target per source), outputs (last path per name)."""
-    last = F.struct("ts", "event_id")
+    """Runs, tasks (each once), publishes (last target per source), outputs (last path per name).
+
+    Every row says by ``at`` which event it comes from, so tables of several batches merge.
+    """
+    at = F.expr(LAST)
+    runs = released.where(F.col("kind") == COMPLETE).groupBy("session_id").agg(F.max("complete_ts").alias("complete_ts"), F.max(at).alias("at"))
     tasks = released.where(F.col("kind").isin(TASK, TASK_CACHED)).groupBy("session_id", F.col("key").alias("task_hash")).agg(
-        F.max_by("kind", last).alias("kind"), F.max("complete_ts").alias("complete_ts"))
+        F.max_by("kind", at).alias("kind"), F.max("complete_ts").alias("complete_ts"), F.max(at).alias("at"))
     pub = released.where(F.col("kind") == PUBLISH).groupBy("session_id", F.coalesce("key", "value").alias("source")).agg(
-        F.max_by("value", last).alias("target"))
-    out = released.where(F.col("kind") == OUTPUT).groupBy("session_id", F.col("key").alias("name")).agg(F.max_by("value", last).alias("path"))
-    return {"tasks": tasks, "publishes": pub, "workflow_outputs": out}
+        F.max_by("value", at).alias("target"), F.max(at).alias("at"))
+    out = released.where(F.col("kind") == OUTPUT).groupBy("session_id", F.col("key").alias("name")).agg(
+        F.max_by("value", at).alias("path"), F.max(at).alias("at"))
+    return {"runs": runs, "tasks": tasks, "publishes": pub, "workflow_outputs": out}
+
+
+def read_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """The tables of all batches below ``out``: a key that several batches wrote keeps its last row."""
+    tables = {}
+    for name, key in (("runs", ["session_id"]), ("tasks", ["session_id", "task_hash"]), ("publishes", ["session_id", "source"]), ("workflow_outputs", ["session_id", "name"])):
+        rows = spark.read.parquet(f"{out}/{name}").drop("batch")
+        rest = [c for c in rows.columns if c not in key]
+        tables[name] = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), "at").alias("r")).select(*key, *[f"r.{c}" for c in rest if c != "at"])
+    return tables
 
 
 def stream_runs(events: DataFrame, out: str, checkpoint: str, steps: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] | None = None,
-                **release):
+                trigger: dict | None = None, **release):
     """Start the query that writes the tables of every completed run below ``out``.
 
     Each micro-batch writes its own folder and replaces it when replayed, so a restart leaves
-    no duplicates. ``steps`` derive further tables from a batch's tables; a step that fails
-    leaves a row in ``errors`` and does not stop the stream.
+    no duplicates; ``read_tables`` merges the batches. ``steps`` derive further tables from a
+    batch's tables; a step that fails leaves a row in ``errors``, under its name and batch, and
+    does not stop the stream. ``trigger`` is the writer's; without it all there is is read once.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -72,9 +94,9 @@ def stream_runs(events: DataFrame, out: str, checkpoint: str, steps: dict[str, C
             try:
                 step(tables).write.mode("overwrite").parquet(path(name))
             except Exception as e:
-                spark.createDataFrame([(name, str(e)[:1000])], "step string, error string").write.mode("overwrite").parquet(path("errors"))
+                spark.createDataFrame([(str(e),)], "error string").write.mode("overwrite").parquet(f"{out}/errors/step={name}/batch={batch_id}")
     return released_events(events, **release).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(
-        availableNow=True).start()
+        **(trigger or {"availableNow": True})).start()
 
 
 def numbered_runs(events: DataFrame) -> DataFrame:

@@ -3,50 +3,57 @@
 import json
 
 E = "https://w3id.org/EVI#"
-ref = lambda *ids: [{"@id": i} for i in ids]
+P = "ark:99999/"
 
 
-def dataset(i, fmt="txt", by=None, **kw):
-    made = {} if by is None else {"generatedBy": by if isinstance(by, (dict, list)) else ref(by)}
-    return {"@id": i, "@type": ["prov:Entity", E + "Dataset"], "name": i.split("/")[-1], "format": fmt, **made, **kw}
+def ref(*ids):
+    return [{"@id": i} for i in ids]
 
 
-def software(i, **kw):
-    return {"@id": i, "@type": ["prov:Entity", E + "Software"], "name": i.split("/")[-1], **kw}
+def _entity(i, kind, classes, **keys):
+    return {"@id": i, "@type": [*classes, E + kind], "name": i.rpartition("/")[2], **keys}
 
 
-def computation(i, used=(), soft=(), made=(), **kw):
-    return {"@id": i, "@type": ["prov:Activity", E + "Computation"], "name": kw.pop("name", i.split("/")[-1]), "usedDataset": ref(*used),
-            "usedSoftware": ref(*soft), "generated": ref(*made), **kw}
+def dataset(i, fmt="txt", by=None, **keys):
+    if by is not None:
+        keys["generatedBy"] = ref(by) if isinstance(by, str) else by
+    return _entity(i, "Dataset", ["prov:Entity"], format=fmt, **keys)
+
+
+def software(i, **keys):
+    return _entity(i, "Software", ["prov:Entity"], **keys)
+
+
+def computation(i, used=(), soft=(), made=(), **keys):
+    return _entity(i, "Computation", ["prov:Activity"], usedDataset=ref(*used), usedSoftware=ref(*soft), generated=ref(*made)) | keys
 
 
 def document(root, *entities, **root_keys):
-    head = [{"@id": "ro-crate-metadata.json", "@type": "CreativeWork", "conformsTo": {"@id": "https://w3id.org/ro/crate/1.2"}, "about": {"@id": root}},
-            {"@id": root, "@type": ["Dataset", E + "ROCrate"], "name": "a crate", **root_keys}]
-    return json.dumps({"@context": {}, "@graph": head + list(entities)})
-
-
-def fan_out(shards=8):
-    """Shards of one seed, each made by its own step of one software, merged by one step."""
-    p = "ark:59853/"
-    parts = [x for i in range(shards) for x in (
-        computation(f"{p}computation-shard-{i}", [p + "dataset-seed"], [p + "software-split"], [f"{p}dataset-shard-{i}"]),
-        dataset(f"{p}dataset-shard-{i}", by={"@id": f"{p}computation-shard-{i}"}))]
-    return document(p + "rocrate-fanout", software(p + "software-split"), software(p + "software-merge"), dataset(p + "dataset-seed"), *parts,
-                    computation(p + "computation-merge", [f"{p}dataset-shard-{i}" for i in range(shards)], [p + "software-merge"],
-                                [p + "dataset-result"], name="MERGE"),
-                    dataset(p + "dataset-result", by={"@id": p + "computation-merge"}))
-
-
-def chain():
-    """Three steps in a row, the last with two results; a run-level step beside them."""
-    p = "ark:59853/"
+    top = {"@id": root, "@type": ["Dataset", E + "ROCrate"], "name": "a crate", **root_keys}
+    about = {"@id": "ro-crate-metadata.json", "@type": "CreativeWork", "conformsTo": {"@id": "https://w3id.org/ro/crate/1.2"}, "about": {"@id": root}}
+    return json.dumps({"@context": {}, "@graph": [about, top, *entities]})
+
+
+def forecast(members=8):
+    """An ensemble forecast: every member perturbs the analysis by a seed of its own and runs the model in two
+    steps; a blend weights all members by the verification of last week and gives a map and a table."""
+    ents = [software(P + s) for s in ("perturb", "model", "blend")]
+    ents += [dataset(P + "analysis", "grib"), dataset(P + "verification", "csv")]
+    for i in range(members):
+        m = f"{P}m{i:02d}"
+        ents += [dataset(m + "-seed", "bin"), computation(m + "-perturb", [P + "analysis", m + "-seed"], [P + "perturb"], [m + "-start"]),
+                 dataset(m + "-start", "grib", m + "-perturb"), computation(m + "-run", [m + "-start"], [P + "model"], [m + "-field"]), dataset(m + "-field", "nc", m + "-run")]
+    fields = [f"{P}m{i:02d}-field" for i in range(members)]
+    ents += [computation(P + "blend-1", [P + "verification", *fields], [P + "blend"], [P + "map", P + "table"], name="Blend"),
+             dataset(P + "map", "png", P + "blend-1"), dataset(P + "table", "csv", P + "blend-1")]
+    return document(P + f"forecast-{members}", *ents)
+
+
+def diamond():
+    """A survey cleaned twice from one raw file; both results meet in a report that only one of them needs
+    a codebook for. The raw file has no producer."""
     return document(
-        p + "rocrate-chain", computation(p + "computation-run", [], [p + "software-main", p + "software-engine"], [p + "dataset-first", p + "dataset-second"]),
-        computation(p + "computation-make", [], [p + "software-make"], [p + "dataset-letters"]),
-        computation(p + "computation-reverse", [p + "dataset-letters"], [p + "software-reverse"], [p + "dataset-reversed"]),
-        computation(p + "computation-split", [p + "dataset-reversed"], [p + "software-split"], [p + "dataset-first", p + "dataset-second"]),
-        *[software(p + "software-" + s) for s in ("main", "engine", "make", "reverse", "split")],
-        dataset(p + "dataset-letters", by=p + "computation-make"), dataset(p + "dataset-reversed", by=p + "computation-reverse"),
-        dataset(p + "dataset-first", by=p + "computation-split"), dataset(p + "dataset-second", by=p + "computation-split"),
-        dataset(p + "dataset-config", by=[], isPartOf=ref(p + "software-main")), license="MIT")
+        P + "survey", software(P + "clean"), software(P + "tally"), software(P + "idle"), dataset(P + "raw", "sav"), dataset(P + "codebook", "pdf"),
+        computation(P + "strict", [P + "raw"], [P + "clean"], [P + "core"]), computation(P + "lenient", [P + "raw", P + "codebook"], [P + "clean"], [P + "wide"]),
+        dataset(P + "core", "csv", P + "strict"), dataset(P + "wide", "csv", P + "lenient"),
+        computation(P + "report", [P + "core", P + "wide"], [P + "tally"], [P + "figures"]), dataset(P + "figures", "json", P + "report"), license="CC0")

@@ -8,12 +8,12 @@ from provlake.operators import containers, filetree, runs as R
 from provlake.sources import crates as S
 from provlake.sources import files as L
 from provlake.sources import versions as V
-from tests.crates import fan_out
+from tests.crates import forecast
 
 
 def pairs(spark, text):
     lines = spark.createDataFrame([("f", i, s) for i, s in enumerate(text.split("\n"))], "file string, line_no int, line string")
-    return {(r["process"], r["tool"]): r["version"] for r in V.version_pairs(V.small_files(lines)).collect()}
+    return {(r["process"], r["tool"]): r["version"] for r in V.version_pairs(lines).collect()}
 
 
 def test_version_files(spark):
@@ -27,9 +27,9 @@ def test_version_files(spark):
 
 def test_version_files_from_disk(spark, tmp_path):
     (tmp_path / "versions.yml").write_text('P:\n  a: 1\n')
-    (tmp_path / "big_versions.yml").write_text("P:\n  b: 2\n" + "#" * V.MAX_SIZE)
+    (tmp_path / "big_versions.yml").write_text("Q:\n" + "# filler\n" * 200_000 + "  b: 2\n")  # over a megabyte, over many blocks
     got = V.version_pairs(V.read_lines(spark, str(tmp_path))).collect()
-    assert [(r["process"], r["tool"]) for r in got] == [("P", "a")]
+    assert sorted((r["process"], r["tool"], r["version"]) for r in got) == [("P", "a", "1"), ("Q", "b", "2")]
     named = spark.createDataFrame([("x/versions.yml",), ("x/My_Versions.yaml",), ("x/versions.txt",)], "path string")
     assert [r["path"] for r in V.collated_files(named).collect()] == ["x/My_Versions.yaml"]
 
@@ -52,6 +52,7 @@ def test_listing_checksums_and_trees(spark, tmp_path):
     names = L.listing(spark, str(tmp_path)).select("path")
     streamed = {r["path"].rsplit("/", 1)[1]: r["md5"] for r in L.stream_checksums(names.unionByName(spark.createDataFrame([("/no/such",)], "path string"))).collect()}
     assert streamed == {**sums, "such": None}
+    assert {r["path"].rsplit("/", 1)[1]: r["md5"] for r in L.checksums(spark, str(tmp_path), row_bytes=5).collect()} == sums  # y.txt is read in pieces
     plain = L.listing(spark, str(tmp_path)).select(F.lit("s").alias("session_id"), F.regexp_replace("path", ".*(?=/a/)", "").alias("path"), "length", F.lit(False).alias("is_dir"))
     assert {(r["dir"], r["n_files"], r["size"]) for r in filetree.tree_sizes(plain).collect()} == {("/a", 2, 11), ("/a/b", 1, 6)}
     assert "content" not in L.listing(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
@@ -60,6 +61,8 @@ def test_listing_checksums_and_trees(spark, tmp_path):
 def test_expansion_keeps_the_first_paths(spark):
     files = spark.createDataFrame([("s", f"out/d/{i:04d}.txt", 1, False) for i in range(500)] + [("s", "out/e/x.txt", 1, False)], "session_id string, path string, length int, is_dir boolean")
     folders = spark.createDataFrame([("s", "out/d")], "session_id string, dir string")
+    kept, dropped = filetree.expand_folders(files, folders)
+    assert kept.count() == 500 and dropped.first()["n_dropped"] == 0
     kept, dropped = filetree.expand_folders(files, folders, max_files=7)
     assert sorted(r["path"] for r in kept.collect()) == [f"out/d/{i:04d}.txt" for i in range(7)]
     assert [(r["n_files"], r["n_dropped"]) for r in dropped.collect()] == [(500, 493)]
@@ -74,6 +77,16 @@ def test_launch_scripts(spark, tmp_path):
     assert scripts.select(L.launched_image("body")).first()[0] == "reg:5000/t/x:1"
 
 
+@pytest.mark.parametrize("clause", ["ln -s '/a b' c", 'cp "x \\"y\\" \\n" z', "a\\ b 'c'\"d\"e", "'' x", 'open "quote', "it's", "plain words  here", "tail\\", "#no comment"])
+def test_shell_words(value, clause):
+    import shlex
+    try:
+        want = shlex.split(clause)
+    except ValueError:
+        want = []
+    assert value(L.shell_words("c"), c=clause) == want
+
+
 def test_newest_trace(spark, tmp_path):
     for run in ("r1", "r2"):
         (tmp_path / run).mkdir()
@@ -96,7 +109,7 @@ def test_annotations(spark):
 
 
 def test_sink_writes_lines_in_order(spark, tmp_path):
-    g = S.load_crates(spark.createDataFrame([("c1", fan_out()), ("c2", fan_out(3))], "crate_id string, json string"))
+    g = S.load_crates(spark.createDataFrame([("c1", forecast()), ("c2", forecast(3))], "crate_id string, json string"))
     S.write_lines(S.entity_lines(g), str(tmp_path / "out"))
     back = spark.read.json(str(tmp_path / "out"))
     assert back.where("crate_id = 'c1'").count() == g.entities.where("crate_id = 'c1'").count()

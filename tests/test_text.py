@@ -8,27 +8,27 @@ from provlake.functions import values as V
 
 
 @pytest.mark.parametrize("name,slug", [
-    ("FetchSequences (1)", "fetchsequences-1"), ("Übung/Straße.txt", "bung-stra-e-txt"), ("---", "unnamed"), (None, "unnamed"),
-    ("a" * 50, "a" * 40), ("x" * 39 + "-tail", "x" * 39)])
+    ("Tide Gauge #7 (Brest)", "tide-gauge-7-brest"), ("île/ñandú.nc", "le-and-nc"), ("//..", "unnamed"), (None, "unnamed"),
+    ("m" * 44, "m" * 40), ("q" * 39 + "--rest", "q" * 39)])
 def test_slugs(value, name, slug):
     assert value(X.slugify("n"), n=name) == slug
 
 
 def test_arks(value):
-    mint = lambda src: value(X.mint_ark("dataset", "n", "s"), n="output file.txt", s=src)
-    assert mint("/work/ab/12/output file.txt") == mint("/work/ab/12/output file.txt") != mint("/work/cd/34/output file.txt")
-    assert mint("x").startswith("ark:59853/dataset-output-file-txt-") and len(mint("x").rsplit("-", 1)[1]) == 7
+    mint = lambda src: value(X.mint_ark("dataset", "n", "s"), n="tide gauge.nc", s=src)
+    assert mint("/sea/1/tide gauge.nc") == mint("/sea/1/tide gauge.nc") != mint("/sea/2/tide gauge.nc")
+    assert mint("x").startswith("ark:59853/dataset-tide-gauge-nc-") and len(mint("x").rsplit("-", 1)[1]) == 7
 
 
-@pytest.mark.parametrize("name,bare", [("FASTQC", "FASTQC"), ("A:B:FASTQC", "FASTQC"), ("A:B: MULTI (demo) ", "MULTI (demo)"), (None, None)])
+@pytest.mark.parametrize("name,bare", [("REGRID", "REGRID"), ("OCEAN:PREP:REGRID", "REGRID"), ("OCEAN: MASK (coarse) ", "MASK (coarse)"), (None, None)])
 def test_bare_names(value, name, bare):
     assert value(X.bare_name("n"), n=name) == bare
 
 
 @pytest.mark.parametrize("path,expected", [
-    ("work/ab/cd12/out.bam", (None, "work/ab/cd12/out.bam")), ("file:///data/refs/genome.fa", (None, "/data/refs/genome.fa")),
-    ("s3://bucket/genome.fa", ("s3://bucket/genome.fa", None)), ("https://example.org/a", ("https://example.org/a", None)),
-    ("az://c/samples.csv", ("az://c/samples.csv", None)), (None, (None, None)), ("", (None, None))])
+    ("scratch/7/tide.nc", (None, "scratch/7/tide.nc")), ("file:///sea/mask.nc", (None, "/sea/mask.nc")),
+    ("s3://buoys/2020.nc", ("s3://buoys/2020.nc", None)), ("ftp://example.org/m", ("ftp://example.org/m", None)),
+    ("gs://c/ports.csv", ("gs://c/ports.csv", None)), (None, (None, None)), ("", (None, None))])
 def test_outside_locators(value, path, expected):
     assert tuple(value(X.outside_locator("p"), p=path)) == expected
 
@@ -41,9 +41,14 @@ def test_crate_locators(value):
 
 def test_script_delimiters(value):
     cut = lambda s: value(X.strip_script_delimiters("s"), s=s)
-    assert cut("def a = 1\n\"\"\"\nfastqc $a\n\"\"\"") == "def a = 1\n\nfastqc $a\n"
-    assert cut("'''\nx\n'''  \n") == "\nx\n"
-    assert cut("exec:\n  println 1") == "exec:\n  println 1" and cut(None) is None
+    assert cut("n = 3\n\"\"\"\nregrid -n $n\n\"\"\"") == "n = 3\n\nregrid -n $n\n"
+    assert cut("'''\nmask it\n'''\t\n") == "\nmask it\n"
+    assert cut("plain\n  body") == "plain\n  body" and cut(None) is None
+
+
+def test_unindent(value):
+    plain = lambda s: value(X.unindent("s"), s=s)
+    assert plain("\n    regrid\n      --fast\n\n    mask\n  ") == "\nregrid\n  --fast\n\nmask\n" and plain("a\n  b") == "a\n  b" and plain("") == "" and plain(None) is None
 
 
 @pytest.mark.parametrize("ref,repo", [
