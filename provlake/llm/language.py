@@ -151,7 +151,7 @@ def train_languages(documents: DataFrame, sample: int = SAMPLE) -> tuple:
     share = share.withColumn("n_langs", F.expr("count(*) over ()")).withColumn("quota", F.greatest(F.lit(1), F.lit(sample) / F.col("n_langs")))
     drawn = learn.select("doc_id", "lang").join(share, "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.col("quota") / F.col("n") * (1 << 30))
     drawn = drawn.select("doc_id").distinct().orderBy(F.xxhash64("doc_id")).limit(sample)
-    picked = cut(learn.join(drawn, "doc_id"), "language-sample").repartition(1)
+    picked = cut(learn.join(F.broadcast(drawn), "doc_id"), "language-sample").repartition(1)
     model = picked.mapInArrow(partial(_fitted, idf), "feature bigint, lang string, weight double").collect()  # at most FEATURES rows for each language
     names = sorted({r["lang"] for r in model if r["feature"] == -1})
     weight, bias, t = np.zeros((FEATURES, len(names))), np.zeros(len(names)), 1.0

@@ -108,11 +108,11 @@ def _predicted(shared, chain: tuple[str, ...], batches: Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column(0), *p], names=["doc_id", *(f"p_{c}" for c in chain)])
 
 
-def train_chain(labelled: DataFrame, chain: tuple[str, ...] = CHAIN, sample: int = SAMPLE) -> list:
-    """``labelled`` has doc_id, text and a 0/1 column for each category; rows with a null in one are left out."""
-    kept = labelled.select("doc_id", *chain).where(" and ".join(f"{c} is not null" for c in chain))
+def train_chain(documents: DataFrame, labels: DataFrame, chain: tuple[str, ...] = CHAIN, sample: int = SAMPLE) -> list:
+    """``labels`` has doc_id and a 0/1 column for each category; rows with a null in one are left out."""
+    kept = labels.select("doc_id", *chain).where(" and ".join(f"{c} is not null" for c in chain)).join(documents.select("doc_id"), "doc_id", "left_semi")
     drawn = kept.orderBy(F.xxhash64("doc_id"), *chain).limit(sample)
-    rows = drawn.join(labelled.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).distinct(), "doc_id")
+    rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id")  # ``sample`` rows at most
     rows = rows.groupBy(F.xxhash64("text").alias("same")).agg(F.min_by(F.struct("text", *chain), "doc_id").alias("r")).select(
         "r.*", F.pmod(F.hash("same"), F.lit(FOLDS)).alias("part"))
     picked = cut(rows, "toxicity-sample").repartition(1).sortWithinPartitions(F.xxhash64("text"))
@@ -136,5 +136,4 @@ def score_texts(texts: DataFrame, models: list, chain: tuple[str, ...] = CHAIN)
 def toxic_documents(documents: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """doc_id, p_low_quality, p_toxic and toxic of every document."""
     judged = labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
-    labelled = documents.select("doc_id", "text").join(judged, "doc_id")
-    return score_texts(documents, train_chain(labelled)).withColumn("toxic", F.col("p_toxic") >= threshold)
+    return score_texts(documents, train_chain(documents, judged)).withColumn("toxic", F.col("p_toxic") >= threshold)
