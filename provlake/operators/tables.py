@@ -161,7 +161,7 @@ def infer_schemas(cells: DataFrame, sample_rows: int | None = None, comment_char
 def collapse_trailing(props: DataFrame, threshold: int) -> DataFrame:
     """Fold a trailing run of at least ``threshold`` equal types into one array property.
 
-    Output: (file, position, name, index, type, item_type, span, first_name, last_name).
+    Output: (file, position, name, index, type, source_type, item_type, span, first_name, last_name).
     The name is 'values', prefixed by '_' until no kept column has it.
     """
     props = cut(props, "properties")
@@ -173,7 +173,7 @@ def collapse_trailing(props: DataFrame, threshold: int) -> DataFrame:
         "fold", (F.col("span") >= threshold) & (F.col("start") > 0) if threshold > 0 else F.lit(False))
     joined = props.join(runs, "file")
     kept = joined.where(~F.col("fold") | (F.col("col") < F.col("start"))).select(
-        "file", F.col("col").alias("position"), "name", F.col("col").cast("string").alias("index"), "type",
+        "file", F.col("col").alias("position"), "name", F.col("col").cast("string").alias("index"), "type", "source_type",
         F.lit(None).cast("string").alias("item_type"), F.lit(None).cast("int").alias("span"),
         F.lit(None).cast("string").alias("first_name"), F.lit(None).cast("string").alias("last_name"))
     # names that could clash are 'values', '_values', ...: the first free one has as many
@@ -189,7 +189,7 @@ def collapse_trailing(props: DataFrame, threshold: int) -> DataFrame:
     folded = folded.join(run_up, "file", "left").select(
         "file", "position",
         F.concat(F.repeat(F.lit("_"), F.coalesce("n_taken", F.lit(0)).cast("int")), F.lit("values")).alias("name"),
-        F.concat(F.col("position").cast("string"), F.lit("::")).alias("index"), F.lit("array").alias("type"),
+        F.concat(F.col("position").cast("string"), F.lit("::")).alias("index"), F.lit("array").alias("type"), F.lit(None).cast("string").alias("source_type"),
         C.canonical_type("last_type").alias("item_type"), F.col("span").cast("int"), "first_name", "last_name")
     return kept.unionByName(folded)
 
@@ -204,7 +204,7 @@ def schema_documents(props: DataFrame) -> DataFrame:
         F.concat(F.lit("Columns "), F.col("first_name"), F.lit(".."), F.col("last_name"), F.lit(" ("),
                  F.col("span").cast("string"), F.lit(" "), F.col("item_type"),
                  F.lit(" values) collapsed into one spanning array")))
-    entry = F.struct("position", "name", text.alias("description"), "index", "type", "item_type", "span")
+    entry = F.struct("position", "name", text.alias("description"), "index", "type", "source_type", "item_type", "span")
     docs = props.groupBy("file").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
     ext = F.lower(F.regexp_extract("file", r"\.([^./]*)\z", 1))
     return docs.select(
@@ -214,5 +214,22 @@ def schema_documents(props: DataFrame) -> DataFrame:
         F.lit("tabular").alias("schema_type"),
         F.transform("entries", lambda e: F.struct(
             e["name"].alias("name"), e["description"].alias("description"), e["index"].alias("index"),
-            e["type"].alias("type"), e["item_type"].alias("item_type"), e["span"].alias("min_items"),
-            e["span"].alias("max_items"))).alias("properties"))
+            e["type"].alias("type"), e["source_type"].alias("source_type"), e["item_type"].alias("item_type"), e["span"].alias("min_items"),
+            e["span"].alias("max_items"), F.when(e["span"].isNotNull(), False).alias("unique_items"))).alias("properties"),
+        F.array().cast("array<string>").alias("examples"))
+
+
+def schema_texts(docs: DataFrame) -> DataFrame:
+    """(file, json): the schema documents as JSON text, keys a value has none for left out."""
+    q = lambda c: F.to_json(F.struct(c.alias("v")))
+    value = lambda c: F.substr(q(c), F.lit(6), F.length(q(c)) - 6)
+    field = lambda key, c: F.when(c.isNotNull(), F.concat(F.lit(f'"{key}":'), value(c)))
+    items = lambda e: F.when(e["item_type"].isNotNull(), F.concat(F.lit('"items":{"type":'), value(e["item_type"]), F.lit("}")))
+    whole = F.col("properties")
+    entry = lambda e: F.concat(value(e["name"]), F.lit(":{"), F.array_join(F.array_compact(F.array(
+        field("description", e["description"]),
+        F.concat(F.lit('"index":'), F.when(e["item_type"].isNull(), e["index"]).otherwise(value(e["index"]))), field("type", e["type"]), field("source-type", e["source_type"]), items(e),
+        field("min-items", e["min_items"]), field("max-items", e["max_items"]), field("unique-items", e["unique_items"]))), ","), F.lit("}"))
+    return docs.select("file", F.concat(
+        F.lit('{"@type":"EVI:Schema","type":"object","additionalProperties":true,"required":'), F.to_json("required"), F.lit(',"separator":'), value(F.col("separator")),
+        F.lit(',"header":true,"examples":[],"EVI:schemaType":"tabular","properties":{'), F.array_join(F.transform(whole, entry), ","), F.lit("}}")).alias("json"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from functools import reduce
 
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -112,12 +114,14 @@ def file_table(z: Resolved, log: M.RunLog, naan: str = X.DEFAULT_NAAN, expanded:
 
 def build_provenance(log: M.RunLog, naan: str = X.DEFAULT_NAAN, patterns: list[str] | None = None,
                      media_types: dict[str, str] | None = None, describe_files: bool = False,
-                     identities: DataFrame | None = None, versions: DataFrame | None = None,
+                     identities: DataFrame | None = None, keywords: list[str] | None = None, metadata: DataFrame | None = None, versions: DataFrame | None = None,
                      expanded: DataFrame | None = None, schema_docs: DataFrame | None = None,
                      copies: DataFrame | None = None, read_params: bool = False,
                      keep_self_use: bool = False, resolved: Resolved | None = None) -> M.Graph:
     """Entities and edges of every successful run.
 
+    ``keywords`` go on every described entity (a process may state its own), ``metadata``
+    (crate_id, metadata) is laid over the root's properties.
     ``describe_files`` joins sizes and digests from the file listing, ``identities`` adds
     container entities, ``versions`` (session_id, process, version) are reported tool
     versions, ``expanded`` (session_id, path, dir) describes files inside published folders,
@@ -156,14 +160,21 @@ def build_provenance(log: M.RunLog, naan: str = X.DEFAULT_NAAN, patterns: list[s
     frame = M.entity_frame
     q = M.quote_opt
     described = R.first_given("description")
-    r = as_crate(runs)
+    words = F.lit(json.dumps(keywords)) if keywords else F.lit(None).cast("string")
+    # the parameters of one run, which a launch states by hand
+    given = R.folded_params(log.params).groupBy("session_id").agg(F.to_json(F.transform(F.array_sort(F.collect_list(
+        F.struct("name", "parameter"))), lambda p: p["parameter"])).alias("parameter"))
+    r = as_crate(runs.join(given, "session_id", "left"))
     root = frame(r, "root", entity_id=F.col("root"), types=M.strings(M.ROOT_TYPES), name=F.col("run_name"),
                  description=X.ensure_description(described, F.concat(
                      F.lit("Crate of the workflow run '"), "run_name", F.lit("'"))).alias("description"),
                  props=M.json_map(version=q(R.first_given("version", F.lit("1.0"))),
                                   author=q(R.first_given("author", F.lit("Unknown"))),
                                   license=q(R.first_given("license", F.lit(R.DEFAULT_LICENSE))),
-                                  datePublished=q("complete_ts")))
+                                  datePublished=q("complete_ts"), keywords=words))
+    if metadata is not None:
+        laid = R.overlay_root(root.withColumnRenamed("props", "root_props"), metadata)
+        root = laid.withColumnRenamed("root_props", "props").select(*root.columns)
     descriptor = frame(r, "descriptor", entity_id=F.lit(M.DESCRIPTOR_ID), types=M.strings(["CreativeWork"]),
                        props=M.json_map(conformsTo=F.lit(f'{{"@id":"{M.CRATE_PROFILE}"}}')))
     run_comp = frame(r, "run", entity_id=F.col("run"), types=M.strings(M.ACTIVITY_TYPES),
@@ -171,13 +182,22 @@ def build_provenance(log: M.RunLog, naan: str = X.DEFAULT_NAAN, patterns: list[s
                      description=F.concat(F.lit("Execution of the workflow '"), "run_name", F.lit("' (session "),
                                           "crate_id", F.lit(")")),
                      props=M.json_map(command=q("command"), runBy=q("author"), identifier=q("crate_id"),
-                                      startTime=q("start_ts"), endTime=q("complete_ts"), dateCreated=q("start_ts")))
-    t = as_crate(join_facts(tasks, about, ["session_id"], "comp"))
+                                      startTime=q("start_ts"), endTime=q("complete_ts"), dateCreated=q("start_ts"),
+                                      parameter=F.col("parameter"), keywords=words))
+    known = None if identities is None else identities.select(F.col("image").alias("container"), "digest", "image_id")
+
+    def with_identity(df):
+        """Digest and id of the image a row names; images are few and tasks of one image many."""
+        if known is None:
+            return df.withColumns({"digest": F.lit(None).cast("string"), "image_id": F.lit(None).cast("string")})
+        return join_facts(df, known, ["container"], "session_id", "left")
+    t = as_crate(with_identity(join_facts(tasks, about, ["session_id"], "comp")))
     task_comp = frame(t, "task", entity_id=F.col("comp"), pos=F.col("seq"), types=M.strings(M.ACTIVITY_TYPES),
                       name=F.col("task_name"), description=F.concat(
                           F.lit("Workflow task '"), "task_name", F.lit("' (process "), "process", F.lit(")")),
                       props=M.json_map(command=q(X.trim_ws("script")), runBy=q("author"), identifier=q("task_hash"),
-                                       dateCreated=q("start_ts"), containerImage=q("container")))
+                                       dateCreated=q("start_ts"), containerImage=q("container"), containerDigest=q("digest"),
+                                       containerImageId=q("image_id"), keywords=words))
     w = runs
     if copies is not None:
         own = copies.select("session_id", F.col("path").alias("script_file"), F.col("copied_to").alias("script_copy"))
@@ -193,7 +213,9 @@ def build_provenance(log: M.RunLog, naan: str = X.DEFAULT_NAAN, patterns: list[s
                    name=F.col("engine_name"), description=F.lit("Workflow management system"),
                    formats=M.strings(["application/java-archive"]), props=M.json_map(version=q("engine_version")))
     images = R.process_images(tasks)
-    p = procs.join(about.drop("workflow"), "session_id").join(images, ["session_id", "process"], "left")
+    p = with_identity(procs.join(about.drop("workflow"), "session_id").join(images, ["session_id", "process"], "left"))
+    stated = R.annotation("ext", "softwareKeywords")
+    stated = F.when(stated.isNotNull(), F.when(F.startswith(stated, F.lit("[")), stated).otherwise(F.to_json(F.array(stated))))
     if versions is not None:
         p = p.join(versions.withColumnRenamed("version", "reported"), ["session_id", "process"], "left")
     else:
@@ -215,7 +237,8 @@ def build_provenance(log: M.RunLog, naan: str = X.DEFAULT_NAAN, patterns: list[s
                     local_path=F.when(url.isNull(), away["local_path"]),
                     props=M.json_map(author=q(R.first_given(R.annotation("ext", "softwareAuthor"), "author")),
                                      version=q(R.first_given(R.annotation("ext", "softwareVersion"), "reported", "version")),
-                                     containerImage=q("container")))
+                                     containerImage=q("container"), containerDigest=q("digest"), containerImageId=q("image_id"),
+                                     keywords=F.coalesce(stated, words)))
     f = join_facts(files, about, ["session_id"], "ark").withColumn("shown", F.coalesce("target", "first_path"))
     inherited = None
     if expanded is not None:
@@ -245,7 +268,7 @@ def build_provenance(log: M.RunLog, naan: str = X.DEFAULT_NAAN, patterns: list[s
                  formats=F.array(filetree.file_format("shown", media_types)), content_url=where["content_url"],
                  local_path=where["local_path"], content_size=F.col("length").cast("string"), md5=F.col("md5"),
                  has_generated_by=made_by, has_provenance=made_by,
-                 props=M.json_map(author=q("author"), datePublished=q("complete_ts")))
+                 props=M.json_map(author=q("author"), datePublished=q("complete_ts"), keywords=words))
     entities = [descriptor, root, run_comp, task_comp, workflow, engine, process, data]
     if identities is not None:
         img = containers.task_images(tasks, identities).withColumn(

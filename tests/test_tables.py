@@ -1,3 +1,4 @@
+import json
 import random
 
 import pytest
@@ -60,6 +61,12 @@ def test_wide_tables_fold(inferred):
     got = T.collapse_trailing(props.where("file = 'wide.tsv'"), 4).orderBy("position").collect()
     assert [(r["name"], r["index"], r["type"], r["item_type"], r["span"]) for r in got] == [("id", "0", "string", None, None), ("values", "1::", "array", "number", 8)]
     doc = T.schema_documents(T.collapse_trailing(props.where("file = 'wide.tsv'"), 4)).first()
+    text = json.loads(T.schema_texts(T.schema_documents(T.collapse_trailing(props.where("file in ('wide.tsv', 'kinds.csv')"), 4))).where("file = 'wide.tsv'").first()["json"])
+    assert text["properties"]["values"] == {"description": "Columns w0..w7 (8 number values) collapsed into one spanning array", "index": "1::", "type": "array",
+                                            "items": {"type": "number"}, "min-items": 8, "max-items": 8, "unique-items": False}
+    assert text["properties"]["id"] == {"description": "Column id", "index": 0, "type": "string"} and text["separator"] == "\t" and text["examples"] == []
+    dates = T.schema_documents(T.collapse_trailing(props.where("file = 'kinds.csv'"), 0)).first()["properties"]
+    assert {p["name"]: (p["type"], p["source_type"]) for p in dates}["c_date"] == ("string", "date")
     assert doc["required"] == ["id", "values"] and doc["separator"] == "\t" and "(8 number values)" in doc["properties"][1]["description"]
     assert T.collapse_trailing(props.where("file = 'wide.tsv'"), 0).count() == 9
 
