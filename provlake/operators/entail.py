@@ -20,7 +20,7 @@ INVERSE_PAIRS = [
     ("packagedBy", "packages"), ("representedBy", "represents"), ("serviceUsedBy", "usedService"),
     ("softwareUsedBy", "usedSoftware"), ("supportedBy", "supports"), ("used", "usedBy"),
 ]
-ADDED_ORD = 1 << 40
+ADDED_ORD = 1 << 60
 
 
 def inverse_of(predicate) -> Column:
