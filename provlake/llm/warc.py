@@ -191,10 +191,15 @@ def _index_rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=[x.split()[0] for x in _INDEX.split(", ")])
 
 
+def _tasks(archives: DataFrame) -> int:
+    """One for each archive, as far as the session's shuffle width goes; few rows are much work here."""
+    return max(1, min(archives.count(), 4 * int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def normalise(archives: DataFrame) -> DataFrame:
     """Rewrites the named archives; returns the rows of all sidecar indexes."""
     folder = workspace(archives.sparkSession, "warc-members")
-    spread = archives.select("archive").repartition(F.col("archive"))
+    spread = archives.select("archive").repartition(_tasks(archives))
     return cut(spread.mapInArrow(partial(_rewrite, folder), _INDEX), "warc-index")
 
 
@@ -242,7 +247,8 @@ def _record_rows(rows: list[tuple]) -> pa.RecordBatch:
 
 def read_records(index: DataFrame, with_html: bool = True) -> DataFrame:
     """Every record an index lists, read by its offset."""
-    return index.select("archive", "offset", "length").mapInArrow(partial(_read, with_html), _RECORDS)
+    spread = index.select("archive", "offset", "length").repartition(_tasks(index.select("archive").distinct()), "archive").sortWithinPartitions("archive", "offset")
+    return spread.mapInArrow(partial(_read, with_html), _RECORDS)
 
 
 def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
