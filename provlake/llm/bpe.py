@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from provlake.llm.words import pieces, span_hashes
 
 #: Bytes of text encoded at once.
-PIECE = 2 << 20
+PIECE = 1 << 20
 _NONE, _SLOT = np.int64(1 << 30), np.int64(0x1E3779B97F4A7C15)
 
 

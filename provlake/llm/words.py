@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text turned into words at once; bounds the memory of a task, not what is read.
-PIECE = 1 << 20
+PIECE = 1 << 19
 
 
 def _spread(x: np.ndarray) -> np.ndarray:
@@ -140,6 +140,7 @@ def pieces(batch: pa.RecordBatch, text: str = "text", size: int = PIECE) -> Iter
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
         yield at, to, data[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at]
         at = to
+    pa.default_memory_pool().release_unused()  # a worker is kept for later tasks, its spare memory need not be
 
 
 def word_text(found: Words, first: int, k: int) -> bytes:
