@@ -41,3 +41,16 @@ def test_changed_notices_and_others(docs):
     short = {"tag": "SPDX MIT", "none": "!?"}
     assert [tuple(r) for r in licenses.scan_licenses(docs([(1, "x spdx mit y")]), short).collect()] == [(1, "tag", 1, 3, 1.0)]
     assert licenses.scan_licenses(docs([])).collect() == []
+
+
+def test_families_are_told_apart_or_left_open(docs):
+    """Wordings that differ in a version, a word or a clause; without the deciding words only the family is named."""
+    gpl = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    bsd = licenses.TEMPLATES["BSD-3-Clause text"]
+    third = bsd[bsd.index("3. Neither"):bsd.index("THIS SOFTWARE")]
+    texts = [(gpl.format("", 2), "GPL-2.0 notice"), (gpl.format("", 3), "GPL-3.0 notice"), (gpl.format("Affero ", 3), "AGPL-3.0 notice"), (gpl.format("Lesser ", 3), "LGPL-3.0 notice"),
+             (gpl.format("", "XX"), "GNU, undecided"), (bsd.replace(third, ""), "BSD-2-Clause text"), (bsd, "BSD-3-Clause text"), (bsd.replace("promote products", "advertise goods"), "BSD-3-Clause text"),
+             (bsd[:bsd.index("1. Redis")], "BSD notice"), ("This work is licensed under the GNU General Public License, version 1.", "GNU, undecided"),
+             ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", "CC-BY-NC-SA-4.0 line")]
+    got = sorted((r["doc_id"], r["license"]) for r in licenses.scan_licenses(docs([(i, f"{babble(i, 20)} {x} {babble(50 + i, 20)}") for i, (x, _) in enumerate(texts)])).collect())
+    assert got == [(i, name) for i, (_, name) in enumerate(texts)]
