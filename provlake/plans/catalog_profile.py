@@ -14,7 +14,7 @@ from provlake.operators import entail, runs as R
 from provlake.plans import adapter as A, library as L
 from provlake.plans.shared import graph, once, table
 from provlake.plans.sqlbase import ark, data_ark, query
-from provlake.session import cut
+from provlake.session import cut, workspace
 from provlake.model import Graph
 
 QUERIES, SQL = {}, {}
@@ -396,16 +396,26 @@ def _json_documents(t):
         F.concat(head, F.transform("rows", lambda r: r["json"])), ","), F.lit("]}")).alias("json"))
 
 
+def _crate_files(spark, folder):
+    """The chunks of one file for each source and block of documents; the folder's name is the crate's in hexadecimal."""
+    from provlake.sources.items import file_chunks
+    home = workspace(spark, "crate-files")
+    _json_documents(A.Tables(spark, folder)).select(F.hex("crate_id").alias("id"), F.col("json").alias("value")).write.partitionBy("id").text(home)
+    name = F.unhex(F.regexp_extract("crate_id", "/id=([^/]*)/", 1)).cast("string")
+    return file_chunks(spark, home, "part-*").withColumn("crate_id", name)
+
+
 @register("crate_scan", """SELECT source || '/' || doc_id // 1000 AS crate_id, 'doc-' || doc_id AS entity_id, 'Dataset' AS norm_type, text AS name,
         CASE WHEN lang = 'es' THEN 'unknown' ELSE lang END AS format, lang = 'en' AS has_generated_by, CASE lang WHEN 'en' THEN 'step-en' WHEN 'fr' THEN 'a text' END AS ref,
         CASE lang WHEN 'en' THEN true WHEN 'fr' THEN false END AS is_object_ref FROM documents
     UNION ALL SELECT DISTINCT source || '/' || doc_id // 1000, unnest(['root', 'ro-crate-metadata.json']), unnest(['Dataset', 'Other']), NULL, 'unknown', false,
         unnest([NULL, 'root']), unnest([NULL, true]) FROM documents""")
 def crate_scan(spark, folder):
-    """Crate documents parsed into entities and edges."""
+    """Crate documents, written as a file each and read in chunks, as entities and edges."""
     from provlake.functions.types import normal_type
-    from provlake.sources.crates import load_crates
-    g = load_crates(_json_documents(A.Tables(spark, folder)))
+    from provlake.sources.crates import load_items
+    from provlake.sources.items import scan
+    g = load_items(scan(_crate_files(spark, folder)).items)
     refs = g.edges.where("predicate in ('generatedBy', 'usedSoftware', 'about')").select("crate_id", F.col("src").alias("entity_id"), F.col("dst").alias("ref"), "is_object_ref")
     return g.entities.join(refs, ["crate_id", "entity_id"], "left").select(
         "crate_id", "entity_id", normal_type("types").alias("norm_type"), "name", S.normal_format("formats").alias("format"), "has_generated_by", "ref", "is_object_ref")
