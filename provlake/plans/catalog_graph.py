@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from provlake.functions import text as X
 from provlake.functions import types as K
 from provlake.model import Graph, edge_frame
 from provlake.operators import condense as C
+from provlake.operators import cycles as CY
 from provlake.operators import entail, reach as W, runs as R
 from provlake.plans import adapter as A, provenance as P
 from provlake.plans.lineage import lineage, walk
@@ -314,13 +316,43 @@ CORE_CTE = {"e": """SELECT DISTINCT crate_id, src, dst FROM (
     AND src IN (SELECT x FROM down) AND dst IN (SELECT x FROM down)""", extra=CORE_CTE, recursive=True))
 def acyclic_core(spark, folder):
     """What is left of a graph when ends and beginnings are peeled off: its cycles and the ways between them."""
-    t = A.Tables(spark, folder)
+    return W.acyclic_core(_looped(A.Tables(spark, folder)))
+
+
+def _arrows(df, a, x, b, y):
     name = lambda letter, c: F.concat(F.lit(letter), F.col(c).cast("string"))
-    nodes = lambda df, a, x, b, y: df.select(F.lit("all").alias("crate_id"), name(a, x).alias("src"), name(b, y).alias("dst"))
-    edges = nodes(t.orders, "o", "o_orderkey", "c", "o_custkey").unionByName(nodes(t.customer, "c", "c_custkey", "n", "c_nationkey")) \
-        .unionByName(nodes(t.nation, "n", "n_nationkey", "c", "n_nationkey")).unionByName(nodes(t.nation, "n", "n_nationkey", "r", "n_regionkey")) \
-        .unionByName(nodes(t.orders.where("o_orderkey % 50 = 0").join(t.customer.select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_semi"), "c", "o_custkey", "o", "o_orderkey"))
-    return W.acyclic_core(edges.distinct())
+    return df.select(F.lit("all").alias("crate_id"), name(a, x).alias("src"), name(b, y).alias("dst"))
+
+
+def _looped(t):
+    closed = t.orders.where("o_orderkey % 50 = 0").join(t.customer.select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_semi")
+    return _arrows(t.orders, "o", "o_orderkey", "c", "o_custkey").unionByName(_arrows(t.customer, "c", "c_custkey", "n", "c_nationkey")) \
+        .unionByName(_arrows(t.nation, "n", "n_nationkey", "c", "n_nationkey")).unionByName(_arrows(t.nation, "n", "n_nationkey", "r", "n_regionkey")) \
+        .unionByName(_arrows(closed, "c", "o_custkey", "o", "o_orderkey")).distinct()
+
+
+# The same graph with the suppliers of each nation as a ring: longer cycles that lead to others.
+CYCLE_CTE = {
+    "e": CORE_CTE["e"], "ring": """SELECT s_suppkey AS s, s_nationkey AS n, coalesce(lead(s_suppkey) OVER w, min(s_suppkey) OVER (PARTITION BY s_nationkey)) AS nxt
+        FROM supplier WINDOW w AS (PARTITION BY s_nationkey ORDER BY s_suppkey)""",
+    "g": "SELECT src, dst FROM e UNION SELECT 's' || s, 's' || nxt FROM ring UNION SELECT 's' || s, 'n' || n FROM ring",
+    "tour": "SELECT src AS a, dst AS b FROM g UNION SELECT tour.a, g.dst FROM tour JOIN g ON g.src = tour.b",
+    "mem": "SELECT t.a AS node, min(t.b) AS component FROM tour t JOIN tour r ON r.a = t.b AND r.b = t.a GROUP BY t.a",
+    "st": "SELECT component, src, dst FROM g JOIN mem ON mem.node = src WHERE component = (SELECT m.component FROM mem m WHERE m.node = dst)",
+    "bfs": "SELECT DISTINCT component, component AS node, 0 AS lv FROM mem UNION SELECT b.component, dst, lv + 1 FROM bfs b JOIN st ON st.component = b.component AND src = node WHERE lv < 60",
+    "lvl": "SELECT component, node, min(lv) AS lv FROM bfs GROUP BY ALL",
+    "par": "SELECT l.component, l.node, l.lv, min(src) AS parent FROM lvl l JOIN st ON st.component = l.component AND dst = l.node JOIN lvl p ON p.component = l.component AND p.node = src AND p.lv = l.lv - 1 GROUP BY ALL",
+    "fin": "SELECT l.component, arg_min(l.node, (l.lv, l.node)) AS node, min(l.lv) AS lv FROM lvl l JOIN st ON st.component = l.component AND src = l.node AND dst = l.component GROUP BY l.component",
+    "way": "SELECT component, node, lv FROM fin UNION ALL SELECT w.component, parent, w.lv - 1 FROM way w JOIN par ON par.component = w.component AND par.node = w.node AND par.lv = w.lv"}
+
+
+@register("cycles", query("SELECT 'all' AS crate_id, component, lv::INTEGER AS pos, node FROM way", extra=CYCLE_CTE, recursive=True))
+def cycles(spark, folder):
+    """One shortest cycle of every strongly connected part, in order."""
+    t = A.Tables(spark, folder)
+    ring = Window.partitionBy("s_nationkey").orderBy("s_suppkey")
+    s = t.supplier.select("s_suppkey", "s_nationkey", F.coalesce(F.lead("s_suppkey").over(ring), F.min("s_suppkey").over(Window.partitionBy("s_nationkey"))).alias("after"))
+    return CY.cycles(_looped(t).unionByName(_arrows(s, "s", "s_suppkey", "s", "after")).unionByName(_arrows(s, "s", "s_suppkey", "n", "s_nationkey")))
 
 
 NEAR_CTE = {
