@@ -45,12 +45,12 @@ def cyclic_core(edges: DataFrame) -> DataFrame:
         gone = newly.select(*_KEY)
         step = lambda side, i, o: side.at(wanted).join(gone, _KEY).select("crate_id", F.col("other").alias("node"), F.lit(i).alias("n_in"), F.lit(o).alias("n_out"))
         fell = step(ahead, 1, 0).unionByName(step(behind, 0, 1)).groupBy(*_KEY).agg(F.sum("n_in").alias("n_in"), F.sum("n_out").alias("n_out"))
-        now = lost.add(fell, turn)
+        now = lost.add(fell, turn, dealt=True)
         if not (touched := numbers(now)):
             break
         total = lost.at(touched).join(now.select(*_KEY), _KEY, "left_semi").groupBy(*_KEY).agg(F.sum("n_in").alias("less_in"), F.sum("n_out").alias("less_out"))
         freed = degrees.at(touched).join(total, _KEY).where("n_in = less_in or n_out = less_out")
-        newly = dead.add(freed.select(*_KEY).join(dead.at(touched).select(*_KEY), _KEY, "left_anti"), turn)
+        newly = dead.add(freed.select(*_KEY).join(dead.at(touched).select(*_KEY), _KEY, "left_anti"), turn, dealt=True)
     all_dead = dead.all().select(*_KEY)
     for end in ("src", "dst"):
         plain = plain.join(all_dead.withColumnRenamed("node", end), ["crate_id", end], "left_anti")
@@ -68,7 +68,7 @@ def _colours(edges: DataFrame) -> DataFrame:
         turn += 1
         offered = changed.join(steps, _KEY).groupBy("crate_id", F.col("dst").alias("node")).agg(F.min("colour").alias("offer"))
         held = labels.all().groupBy(*_KEY).agg(F.min("colour").alias("colour"))
-        changed = labels.add(offered.join(held, _KEY).where("offer < colour").select(*_KEY, F.col("offer").alias("colour")), turn)
+        changed = labels.add(offered.join(held, _KEY).where("offer < colour").select(*_KEY, F.col("offer").alias("colour")), turn, dealt=True)
     return labels.all().groupBy(*_KEY).agg(F.min("colour").alias("colour"))
 
 

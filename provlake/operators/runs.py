@@ -159,18 +159,20 @@ def copied_names(sources: DataFrame) -> DataFrame:
     rows = running_sum(rows, ["session_id", "name"], ["seq", "path"], F.lit(1), F.floor(F.col("seq") / NAME_BLOCK), "before")
     rows = rows.withColumn("nth", F.col("before") + 1).drop("before")
     # numbers already spelled out in real basenames of the same stem and extension
+    key = ["session_id", "stem", "ext"]
     number = F.regexp_extract("name", r"-([2-9]|[1-9][0-9]+)(\.[^.]*)?\z", 1)
     taken = rows.where((F.col("nth") == 1) & (number != "")).select(
         "session_id", F.expr("substr(stem, 1, length(stem) - length(regexp_extract(stem, '-[0-9]+$', 0)))").alias("stem"),
-        "ext", number.try_cast("bigint").alias("number")).distinct()
-    # the j-th free number from 2 on is j plus the taken numbers that do not exceed it
-    ranked = taken.withColumn("rank", F.row_number().over(
-        Window.partitionBy("session_id", "stem", "ext").orderBy("number")))
-    ranked = ranked.withColumn("free_before", F.col("number") - 1 - F.col("rank"))
-    repeats = rows.where("nth > 1").withColumn("j", F.col("nth") - 1)
-    shift = repeats.join(ranked, ["session_id", "stem", "ext"]).where(F.col("free_before") < F.col("j")) \
-        .groupBy("session_id", "path").agg(F.count("*").alias("skip"))
-    out = rows.join(shift, ["session_id", "path"], "left")
-    final = F.when(F.col("nth") == 1, F.col("name")).otherwise(F.concat(
-        "stem", F.lit("-"), (F.col("nth") + F.coalesce("skip", F.lit(0))).cast("string"), "ext"))
-    return out.select("session_id", "path", "seq", final.alias("copied_as"))
+        "ext", number.try_cast("bigint").alias("number")).where("number is not null").distinct()
+    taken = running_sum(taken, key, ["number"], F.lit(1), F.floor(F.col("number") / NAME_BLOCK), "smaller")
+    # The j-th repeat takes the j-th free number. In one order, a taken number stands before the
+    # first repeat it moves on: the one after as many as there are free numbers below it.
+    none = lambda kind: F.lit(None).cast(kind)
+    marks = taken.select(*key, (F.col("number") - 1 - F.col("smaller")).alias("place"), F.lit(1).alias("is_taken"), "number",
+                         none("string").alias("path"), none("bigint").alias("seq"), none("bigint").alias("nth"))
+    repeats = rows.where("nth > 1").select(*key, (F.col("nth") - 1).alias("place"), F.lit(0).alias("is_taken"), F.lit(0).cast("bigint").alias("number"),
+                                           "path", F.col("seq").cast("bigint").alias("seq"), "nth")
+    merged = running_sum(marks.unionByName(repeats), key, [F.col("place"), F.col("is_taken").desc(), F.col("number")],
+                         F.col("is_taken"), F.floor(F.col("place") / NAME_BLOCK), "skip").where("is_taken = 0")
+    moved = merged.select("session_id", "path", "seq", F.concat("stem", F.lit("-"), (F.col("nth") + F.col("skip")).cast("string"), "ext").alias("copied_as"))
+    return rows.where("nth = 1").select("session_id", "path", F.col("seq").cast("bigint").alias("seq"), F.col("name").alias("copied_as")).unionByName(moved)

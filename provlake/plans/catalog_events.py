@@ -51,3 +51,22 @@ def streamed_runs(spark, folder):
         one = table(name).withColumnRenamed("n", column)
         counts = counts.join(one, "session_id", "left")
     return counts.select("session_id", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_tasks", "n_published", "n_outputs")])
+
+
+@register("streamed_outcomes", f"""WITH {NUMBERED} SELECT event_id, n.user_id || '-' || n.run AS session_id,
+    CASE WHEN event_type = 'error' OR (event_type = 'purchase' AND NOT coalesce(value > 10, false)) THEN 'failed' WHEN d.run IS NULL THEN 'abandoned' ELSE 'released' END AS outcome
+    FROM numbered n LEFT JOIN done d ON d.user_id = n.user_id AND d.run = n.run""")
+def streamed_outcomes(spark, folder):
+    """What became of every event, after a last event far ahead let the watermark expire all open runs."""
+    home = workspace(spark, "events")
+    log = S.numbered_runs(A.Tables(spark, folder).events)
+    log.repartitionByRange(8, "ts", "event_id").write.parquet(f"{home}/log")
+    end = log.agg((F.max("ts") + F.expr("interval 1000 days")).alias("ts")).select(
+        F.lit("end").alias("session_id"), F.lit(-1).cast("bigint").alias("event_id"), "ts", F.lit(S.TASK_FAILED).alias("kind"), *[F.lit(None).cast("string").alias(c) for c in ("key", "value")],
+        F.lit(None).cast("boolean").alias("success"))
+    end.write.mode("append").parquet(f"{home}/log")
+    events = spark.readStream.schema(S.EVENT_SCHEMA).option("maxFilesPerTrigger", 3).parquet(f"{home}/log")
+    stream = S.stream_runs(events, f"{home}/out", f"{home}/state", lateness="40 days", longest_run="40 days", salts=4)
+    stream.awaitTermination()
+    reached = stream.lastProgress["eventTime"].get("watermark")
+    return S.event_outcomes(log, f"{home}/out", reached, "40 days").select("event_id", "session_id", "outcome")

@@ -263,14 +263,24 @@ def container_entities(spark, folder):
         "crate_id", "entity_id", F.col("name").alias("image"), "n_tasks")
 
 
-@register("copied_names", query("""SELECT session_id, path, CASE WHEN nth = 1 THEN name ELSE regexp_extract(name, '^(.*)\\.', 1) || '-' || nth || '.conf' END AS copied_as
-    FROM (SELECT session_id, path, name, row_number() OVER (PARTITION BY session_id, name ORDER BY c_custkey) AS nth FROM (
-        SELECT session_id, c_custkey, 'conf/' || c_custkey || '/' || lower(c_mktsegment) || '.conf' AS path, lower(c_mktsegment) || '.conf' AS name FROM cust))""", "cust"))
+@register("copied_names", query("""SELECT nn.session_id, path, CASE WHEN nth = 1 THEN name ELSE regexp_extract(name, '^(.*)\\.', 1) || '-' || v || '.conf' END AS copied_as
+    FROM nn LEFT JOIN free f ON f.session_id = nn.session_id AND f.of = name AND j = nth - 1""", "cust", "nat", extra={
+        "src": """SELECT session_id, c_custkey AS seq, 'conf/' || c_custkey || '/' || lower(c_mktsegment) || '.conf' AS path, lower(c_mktsegment) || '.conf' AS name FROM cust
+        UNION ALL SELECT session_id, n_nationkey - 100, 'own/' || n_nationkey || '/building-' || (n_nationkey % 7 + 1) || '.conf', 'building-' || (n_nationkey % 7 + 1) || '.conf' FROM nat""",
+        "nn": "SELECT *, row_number() OVER (PARTITION BY session_id, name ORDER BY seq, path) AS nth FROM src",
+        "tk": """SELECT DISTINCT session_id, regexp_extract(name, '^(.*)-([0-9]+)\\.conf$', 1) AS stem, regexp_extract(name, '^(.*)-([0-9]+)\\.conf$', 2)::BIGINT AS number
+        FROM src WHERE regexp_matches(name, '-([2-9]|[1-9][0-9]+)\\.conf$')""",
+        "free": """SELECT session_id, name AS of, v, row_number() OVER (PARTITION BY session_id, name ORDER BY v) AS j
+        FROM (SELECT session_id, name, unnest(range(2, count(*) + 40)) AS v FROM nn GROUP BY session_id, name) f WHERE NOT EXISTS (
+            SELECT 1 FROM tk WHERE tk.session_id = f.session_id AND tk.stem = regexp_extract(f.name, '^(.*)\\.', 1) AND tk.number = v)"""}))
 def copied_names(spark, folder):
-    c = A.customers(A.Tables(spark, folder))
-    src = c.select("session_id", F.concat(F.lit("conf/"), A.text("c_custkey"), F.lit("/"), F.lower("c_mktsegment"), F.lit(".conf")).alias("path"),
-                   F.col("c_custkey").alias("seq"))
-    return R.copied_names(src).select("session_id", "path", "copied_as")
+    """Names of configuration files, some of which spell out numbers that repeats would take."""
+    t = A.Tables(spark, folder)
+    path = lambda top, key, name: F.concat(F.lit(top), A.text(key), F.lit("/"), name, F.lit(".conf")).alias("path")
+    src = A.customers(t).select("session_id", path("conf/", "c_custkey", F.lower("c_mktsegment")), F.col("c_custkey").cast("bigint").alias("seq"))
+    own = A.nations(t).select("session_id", path("own/", "n_nationkey", F.concat(F.lit("building-"), (F.col("n_nationkey") % 7 + 1).cast("string"))),
+                              (F.col("n_nationkey") - 100).cast("bigint").alias("seq"))
+    return R.copied_names(src.unionByName(own)).select("session_id", "path", "copied_as")
 
 
 @register("tree_sizes", query("""SELECT session_id, dir, count(*)::BIGINT AS n_files, sum(len)::BIGINT AS size FROM (

@@ -1,8 +1,9 @@
 """Run events as a stream: a run's events are released when it completes well.
 
-The accumulator is a stream-stream join of events with successful completions. Events wait
-in join state until their completion arrives; those of failed runs never match, and what a
-run leaves behind (failed or abandoned) is dropped once the watermark passes the longest run.
+The accumulator is an outer stream-stream join of events with successful completions. Events wait
+in join state until their completion arrives. What finds none (its run failed, never ended, or
+had ended before) comes out as abandoned once the watermark passes the longest run, so every
+event that is not later than the watermark settles in one row; ``event_outcomes`` names the rest.
 Sessions are salted, so one session may hold any share of the events.
 """
 
@@ -23,25 +24,50 @@ PUBLISH, OUTPUT, COMPLETE = "publish", "output", "complete"
 SALTS = 16
 
 
-def released_events(events: DataFrame, lateness: str, longest_run: str, salts: int = SALTS) -> DataFrame:
-    """Events of successfully completed runs, with ``complete_ts``, and the completions themselves.
+RELEASED, ABANDONED, FAILED, LATE, WAITING = "released", "abandoned", "failed", "late", "waiting"
+_SETTLED = ["session_id", "event_id", "ts", "kind", "key", "value", "complete_ts", "outcome"]
 
-    An event after its run's completion is never seen. Failed tasks are not kept. ``lateness`` and
-    ``longest_run`` bound the state and have no default: what is later or longer is not released,
-    and the query's progress reports it as rows dropped by the watermark.
+
+def settled_events(events: DataFrame, lateness: str, longest_run: str, salts: int = SALTS) -> DataFrame:
+    """Every event with its ``outcome``: released with its run's ``complete_ts``, abandoned, or failed.
+
+    An event after its run's completion is abandoned. Failed tasks and unsuccessful completions
+    settle as failed at once. ``lateness`` and ``longest_run`` bound the state and have no
+    default: an event longer before its completion is abandoned, one later than the watermark is
+    dropped by the engine, which counts it in the query's progress. An event without a time or a
+    kind belongs to no run and is abandoned at once.
     """
-    seen = events.withWatermark("ts", lateness)
-    work = seen.where(~F.col("kind").isin(COMPLETE, TASK_FAILED)).select(
+    is_end, good = F.col("kind") == COMPLETE, F.coalesce("success", F.lit(False))
+    # a test that also reads the time is not moved before the watermark, which every event then drives, not completions alone
+    timed = lambda test: F.when(F.col("ts").isNotNull(), test).otherwise(False)
+    work = events.withWatermark("ts", lateness).where(timed(~F.col("kind").isin(COMPLETE, TASK_FAILED))).select(
         "session_id", "event_id", "ts", "kind", "key", "value", F.pmod(F.xxhash64("event_id"), F.lit(salts)).alias("salt"))
-    done = events.withWatermark("ts", lateness).where((F.col("kind") == COMPLETE) & F.col("success")).select(
+    done = events.withWatermark("ts", lateness).where(timed(is_end & good)).select(
         F.col("session_id").alias("done_session"), F.col("ts").alias("complete_ts"), F.col("event_id").alias("complete_id"),
         F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")).alias("done_salt"))
     same = (F.col("session_id") == F.col("done_session")) & (F.col("salt") == F.col("done_salt"))
     in_run = (F.col("ts") <= F.col("complete_ts")) & (F.col("ts") >= F.col("complete_ts") - F.expr(f"interval {longest_run}"))
     before = (F.col("ts") < F.col("complete_ts")) | (F.col("event_id") < F.col("complete_id"))
-    kept = work.join(done, same & in_run & before).select("session_id", "event_id", "ts", "kind", "key", "value", "complete_ts")
-    ends = seen.where((F.col("kind") == COMPLETE) & F.col("success")).select("session_id", "event_id", "ts", "kind", "key", "value", F.col("ts").alias("complete_ts"))
-    return kept.union(ends)
+    outcome = F.when(F.col("complete_ts").isNull(), ABANDONED).otherwise(RELEASED).alias("outcome")
+    kept = work.join(done, same & in_run & before, "left_outer").select(*_SETTLED[:-1], outcome)
+    ended = is_end & good & F.col("ts").isNotNull()
+    at_once = events.where(F.coalesce(is_end | (F.col("kind") == TASK_FAILED), F.lit(True)) | F.col("ts").isNull()).select(
+        *_SETTLED[:-2], F.when(ended, F.col("ts")).alias("complete_ts"), F.when(ended, RELEASED).when(is_end | (F.col("kind") == TASK_FAILED), FAILED).otherwise(ABANDONED).alias("outcome"))
+    return kept.union(at_once)
+
+
+def event_outcomes(events: DataFrame, out: str, watermark: str | None, longest_run: str) -> DataFrame:
+    """(session_id, event_id, outcome) of every event of a log, after a stream over it wrote below ``out``.
+
+    What the stream did not settle is late if the watermark (as the query's progress tells it)
+    has passed the time it could wait for, else it waits. Events are told apart by session and id.
+    """
+    settled = events.sparkSession.read.schema("session_id string, event_id bigint, outcome string").parquet(f"{out}/settled")
+    # an event of a run that completed twice was released twice
+    once = settled.groupBy("session_id", "event_id").agg(F.max("outcome").alias("outcome"))
+    passed = F.lit(False) if watermark is None else F.col("ts") < F.to_timestamp(F.lit(watermark)) - F.expr(f"interval {longest_run}")
+    return events.join(once, ["session_id", "event_id"], "left").select(
+        "session_id", "event_id", F.coalesce("outcome", F.when(passed, LATE).otherwise(WAITING)).alias("outcome"))
 
 
 LAST = "struct(ts, event_id)"
@@ -75,7 +101,7 @@ def read_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
 
 def stream_runs(events: DataFrame, out: str, checkpoint: str, steps: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] | None = None,
                 trigger: dict | None = None, **release):
-    """Start the query that writes the tables of every completed run below ``out``.
+    """Start the query that writes the tables of every completed run below ``out``, and what was not released.
 
     Each micro-batch writes its own folder and replaces it when replayed, so a restart leaves
     no duplicates; ``read_tables`` merges the batches. ``steps`` derive further tables from a
@@ -85,8 +111,8 @@ def stream_runs(events: DataFrame, out: str, checkpoint: str, steps: dict[str, C
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         path = lambda name: f"{out}/{name}/batch={batch_id}"
-        batch.write.mode("overwrite").parquet(path("released"))
-        released = spark.read.schema(batch.schema).parquet(path("released"))
+        batch.write.mode("overwrite").partitionBy("outcome").parquet(path("settled"))
+        released = spark.read.schema(batch.schema).parquet(path("settled")).where(F.col("outcome") == RELEASED)
         tables = run_tables(released)
         for name, table in tables.items():
             table.write.mode("overwrite").parquet(path(name))
@@ -95,7 +121,7 @@ def stream_runs(events: DataFrame, out: str, checkpoint: str, steps: dict[str, C
                 step(tables).write.mode("overwrite").parquet(path(name))
             except Exception as e:
                 spark.createDataFrame([(str(e),)], "error string").write.mode("overwrite").parquet(f"{out}/errors/step={name}/batch={batch_id}")
-    return released_events(events, **release).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(
+    return settled_events(events, **release).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(
         **(trigger or {"availableNow": True})).start()
 
 

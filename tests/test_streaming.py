@@ -74,6 +74,22 @@ def test_runs_beyond_the_longest_are_not_released(spark, tmp_path):
     assert [r["task_hash"] for r in tables["tasks"].collect()] == ["late"] and tables["runs"].count() == 1
 
 
+def test_every_event_settles(spark, tmp_path):
+    batches = [[event("s", 1, 0, S.TASK, "early"), event("s", 2, 50, S.TASK, "in time"), event("t", 3, 55, S.TASK, "open"), event("u", 4, 56, S.TASK_FAILED, "t")],
+               [event("s", 5, 100, S.COMPLETE, success=True), event("t", 6, 101, S.COMPLETE, success=False), event("s", 7, 102, S.TASK, "after")],
+               [event("v", 8, 400, S.TASK, "waits")], [event("w", 9, 60, S.TASK, "late"), event("w", 10, 399, S.TASK, "in time too")], [event("x", 11, 401, S.TASK_FAILED, "t")]]
+    log = str(tmp_path / "log")
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, S.EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(log)
+        stream = spark.readStream.schema(S.EVENT_SCHEMA).parquet(log)
+        q = S.stream_runs(stream, str(tmp_path / "out"), str(tmp_path / "state"), lateness="5 minutes", longest_run="1 hour", salts=2)
+        q.awaitTermination()
+        reached = q.lastProgress["eventTime"].get("watermark") or None if q.lastProgress else reached
+    got = {r["event_id"]: r["outcome"] for r in S.event_outcomes(spark.read.schema(S.EVENT_SCHEMA).parquet(log), str(tmp_path / "out"), reached, "1 hour").collect()}
+    assert got == {1: "abandoned", 2: "released", 3: "abandoned", 4: "failed", 5: "released", 6: "failed", 7: "abandoned", 8: "waiting", 9: "late", 10: "waiting", 11: "failed"}
+    assert {r["task_hash"] for r in S.read_tables(spark, str(tmp_path / "out"))["tasks"].collect()} == {"in time"}
+
+
 def test_batch_counts(spark):
     row = S.batch_runs(spark.createDataFrame([e for e in LOG if e[4] != "late"], S.EVENT_SCHEMA)).collect()
     assert sorted(tuple(r) for r in row) == [("bare", 0, 0, 0), ("good", 2, 2, 1)]
