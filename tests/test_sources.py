@@ -1,4 +1,5 @@
 import hashlib
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,12 +18,15 @@ def pairs(spark, text):
 
 
 def test_version_files(spark):
-    assert pairs(spark, '"FASTQC":\n    fastqc: 0.12.1\n') == {("FASTQC", "fastqc"): "0.12.1"}
-    assert pairs(spark, "'SORT':\n    samtools: 1.21\n\thtslib: \"1.21\"\n# note\n\nOTHER:\n  x:\n  y: 2\n  y: 3\n") == {
-        ("SORT", "samtools"): "1.21", ("SORT", "htslib"): "1.21", ("OTHER", "y"): "3"}
-    assert pairs(spark, "not a version file") == {} and pairs(spark, '"PROCESS":\n') == {} and pairs(spark, "  early: 1\nP:\n") == {}
+    """Any quoting of names and values and any indent spell the same pairs; what is no pair under a name is left out."""
+    held = {"REGRID": {"cdo": "2.4.0", "nco": "5.1.9"}, "TIDE_FIT": {"utide": "0.3"}}
+    for quote in ("", "'", '"'):
+        for indent in ("  ", "\t", " " * 7):
+            text = "stray: 1\n".replace("stray", f"{indent}stray") + "".join(f"{quote}{p}{quote}:\n# by {p}\n\n" + "".join(f"{indent}{t}: {quote}{v}{quote}\n" for t, v in tools.items()) + f"{indent}empty:\n" for p, tools in held.items())
+            assert pairs(spark, text) == {(p, t): v for p, tools in held.items() for t, v in tools.items()}
+    assert pairs(spark, "MASK:\n  cdo: 1\n  cdo: 2\nBARE:\n") == {("MASK", "cdo"): "2"} and pairs(spark, "a log line, no names") == {}
     # a qualified name ends at its first colon
-    assert pairs(spark, '"A:B:FASTQC":\n  fastqc: 1\n') == {('"A', "fastqc"): "1"}
+    assert pairs(spark, '"OCEAN:PREP:MASK":\n  cdo: 1\n') == {('"OCEAN', "cdo"): "1"}
 
 
 def test_version_files_from_disk(spark, tmp_path):
@@ -34,12 +38,18 @@ def test_version_files_from_disk(spark, tmp_path):
     assert [r["path"] for r in V.collated_files(named).collect()] == ["x/My_Versions.yaml"]
 
 
-@pytest.mark.parametrize("json,digest,image_id", [
-    ('{"Id":"sha256:aa","RepoDigests":["a/tool@sha256:85"]}', "a/tool@sha256:85", "sha256:aa"), ('[{"Id":"sha256:aa","RepoDigests":["a/tool@sha256:85"]}]', "a/tool@sha256:85", "sha256:aa"),
-    ('{"Id":"sha256:bb","RepoDigests":[]}', None, "sha256:bb"), (None, None, None), ("", None, None), ("not json", None, None), ("[]", None, None), ("null", None, None)])
-def test_inspect_records(spark, json, digest, image_id):
-    row = containers.image_identities(spark.createDataFrame([("a/tool:1.0", json)], "image string, json string")).first()
-    assert (row["digest"], row["image_id"]) == (digest, image_id)
+def test_inspect_records(spark):
+    """A record alone or in a list, with its repository's digest at any place; what is no record has no identity."""
+    held = [f"sea/{n}@sha256:{i}" for i, n in enumerate(["mask", "regrid"])]
+    rows = []
+    for digests in (held, held[::-1], held[:1], []):
+        want = held[1] if held[1] in digests else digests[0] if digests else None
+        record = {"Id": "sha256:1d", "Size": 7, "RepoDigests": digests}
+        rows += [(json.dumps(shape), want, "sha256:1d") for shape in (record, [record], [record, {"Id": "other"}])]
+    rows += [(text, None, None) for text in (None, "", "{", "[]", "null", "7")]
+    asked = spark.createDataFrame([(f"sea/regrid:{i}", text) for i, (text, _, _) in enumerate(rows)], "image string, json string")
+    got = {r["image"]: (r["digest"], r["image_id"]) for r in containers.image_identities(asked).collect()}
+    assert got == {f"sea/regrid:{i}": (digest, image_id) for i, (_, digest, image_id) in enumerate(rows)}
 
 
 def test_listing_checksums_and_trees(spark, tmp_path):

@@ -51,35 +51,37 @@ def test_unindent(value):
     assert plain("\n    regrid\n      --fast\n\n    mask\n  ") == "\nregrid\n  --fast\n\nmask\n" and plain("a\n  b") == "a\n  b" and plain("") == "" and plain(None) is None
 
 
-@pytest.mark.parametrize("ref,repo", [
-    ("a/tool:1.0", "a/tool"), ("a/tool", "a/tool"), ("a/tool@sha256:abc", "a/tool"), ("a/tool:1.0@sha256:abc", "a/tool"),
-    ("registry.io:5000/a/tool:1.0", "registry.io:5000/a/tool"), ("registry.io:5000/a/tool", "registry.io:5000/a/tool"), (None, None)])
-def test_repositories(value, ref, repo):
-    assert value(X.repository_of("r"), r=ref) == repo
+def test_repositories(spark):
+    """Whatever tag or digest follows, the repository is what stands before it; a port is no tag."""
+    hosts, paths, tags, digests = ("", "quay.example/", "lighthouse:8443/"), ("regrid", "sea/regrid", "sea/deep/mask"), ("", ":7", ":v2.1-rc3"), ("", "@sha256:" + "0f" * 32)
+    rows = [(h + p + t + d, h + p) for h in hosts for p in paths for t in tags for d in digests] + [(None, None)]
+    df = spark.createDataFrame(rows, "ref string, want string")
+    assert df.where(~X.repository_of("ref").eqNullSafe(F.col("want"))).collect() == []
 
 
 def test_digests(value):
+    """The digest of the image's own repository wins wherever it stands, else the first one there is."""
     pick = lambda image, ds: value(X.pick_digest("i", "d"), "i string, d array<string>", i=image, d=ds)
-    ds = ["other/mirror@sha256:dead", "a/tool@sha256:beef"]
-    assert pick("a/tool:1.0", ds) == "a/tool@sha256:beef"
-    assert pick("unrelated/thing:1.0", ds) == "other/mirror@sha256:dead"
-    assert pick("a/tool:1.0", []) is None and pick("a/tool:1.0", None) is None
+    held = [f"sea/{name}@sha256:{i}" for i, name in enumerate(["regrid", "mask", "plot"])]
+    assert [pick(f"sea/{name}:2024", held) for name in ("regrid", "mask", "plot", "tide")] == [*held, held[0]]
+    assert [pick("sea/tide", none) for none in ([], None)] == [None, None]
 
 
-def test_contributors(value):
-    kind = "c array<struct<name:string,contribution:array<string>>>"
-    names = lambda rows: value(X.credited_names("c"), kind, c=rows)
-    assert names([("Ada", ["author", "maintainer"]), ("Else", ["contributor"])]) == "Ada"
-    assert names([("Ada", ["maintainer"]), ("Grace", ["contributor"])]) == "Ada, Grace"
-    assert names(None) is None and names([]) is None
+def test_contributors(spark):
+    """Authors are credited; where nobody is one, everybody is."""
+    roles = [["author"], ["editor"], ["reviewer", "author"], []]
+    teams = [[("Inês", a), ("Rui", b), ("Zé", c)] for a in roles for b in roles for c in roles]
+    want = [", ".join([n for n, r in team if "author" in r] or [n for n, _ in team]) for team in teams]
+    df = spark.createDataFrame(list(zip(teams, want, strict=True)) + [([], None), (None, None)], "c array<struct<name:string,contribution:array<string>>>, want string")
+    assert df.where(~X.credited_names("c").eqNullSafe(F.col("want"))).collect() == []
 
 
 def test_unquote_and_versions(value):
-    assert value(X.unquote("v"), v=' "1.21" ') == "1.21" and value(X.unquote("v"), v="'a") == "'a"
-    kind = "p array<struct<tool:string,version:string>>"
-    assert value(X.format_versions("p"), kind, p=[("fastqc", "0.12.1")]) == "0.12.1"
-    assert value(X.format_versions("p"), kind, p=[("samtools", "1.21"), ("htslib", "1.21")]) == "samtools 1.21, htslib 1.21"
-    assert value(X.format_versions("p"), kind, p=[]) is None
+    for said in ("3.8.4", "r12 beta"):
+        assert [value(X.unquote("v"), v=v) for v in (said, f" {said}\t", f'"{said}"', f" '{said}' ", f"'{said}")] == [said] * 4 + [f"'{said}"]
+    kind, tools = "p array<struct<tool:string,version:string>>", [("gdal", "3.8.4"), ("proj", "9.3"), ("cdo", "2")]
+    shown = [value(X.format_versions("p"), kind, p=tools[:n]) for n in range(4)]
+    assert shown == [None, "3.8.4", "gdal 3.8.4, proj 9.3", "gdal 3.8.4, proj 9.3, cdo 2"]
 
 
 @pytest.mark.parametrize("text,ok", [("a/b.csv", True), ("a/.hidden", False), ("a/b.", False), ("a.b/c", False), ("x.tar.gz", True)])
