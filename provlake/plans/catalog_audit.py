@@ -172,7 +172,7 @@ def _support(spark, folder):
         rows = lambda df: df.select(F.col("session_id").alias("crate_id"), F.col("task_hash").alias("identifier"), F.md5("path").alias("md5"))
         said = rows(z.inputs.where(~F.startswith("path", F.lit("work/nation/"))))
         did = rows(R.of_tasks(A.task_inputs(t, t.lineitem.where("l_returnflag <> 'R'")), z.tasks))
-        from provlake.session import cut
+        from provlake.session import cut, workspace
         return cut(Q.edge_support(said, did), "support")
     return once(spark, folder, "support", make)
 
@@ -268,7 +268,13 @@ PAIRS_CTE = """opened AS (SELECT conv_id, turn, length(text) AS n, max(CASE WHEN
 
 @register("tool_versions", f"WITH {PAIRS_CTE} SELECT conv_id::VARCHAR AS file, process, tool, version FROM pairs")
 def tool_versions(spark, folder):
-    return V.version_pairs(_version_lines(A.Tables(spark, folder))).select("file", "process", "tool", "version")
+    """Version files, one for each conversation, written with CRLF and read back in splits."""
+    from provlake.session import workspace
+    home = workspace(spark, "version-files")
+    lines = _version_lines(A.Tables(spark, folder))
+    lines.repartition("file").sortWithinPartitions("file", "line_no").select("file", F.col("line").alias("value")).write.partitionBy("file").text(home, lineSep="\r\n")
+    pairs = V.version_pairs(V.read_lines(spark, home))
+    return pairs.select(F.regexp_extract("file", "/file=([^/]*)/", 1).alias("file"), "process", "tool", "version")
 
 
 @register("version_texts", f"WITH {PAIRS_CTE} SELECT conv_id::VARCHAR AS file, process, string_agg(tool || ' ' || version, ', ' ORDER BY tool) AS version FROM pairs GROUP BY conv_id, process")

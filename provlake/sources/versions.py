@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from provlake.functions import text as X
+from provlake.operators.running import running_sum
+from provlake.session import cut
 
 # Name of a process's own file, pattern of collated files.
 BLOCK_LINES = 10_000
@@ -14,10 +16,18 @@ COLLATED = r"(?is)\A.*versions.*\.ya?ml\z"
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no, line) of the text files below a folder."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(
-        F.col("path").alias("file"), F.posexplode(F.split(F.decode("content", "UTF-8"), r"\r\n|\r|\n")).alias("line_no", "line"))
+    """(file, line_no, line) of the text files below a folder; lines end at LF, CR or both.
+
+    Files split over tasks at LF. Within a split rows keep their order, splits are ordered by
+    where they begin, and a line's number is the lines of all rows before it, summed inside
+    splits and over splits, so neither a file nor its lines are ever one task's work.
+    """
+    rows = spark.read.text(path, lineSep="\n", recursiveFileLookup=True).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"),
+        F.split(F.regexp_replace("value", r"\r\z", ""), r"\r", -1).alias("lines"))
+    rows = cut(rows, "lines")  # written, so that the numbers stay
+    counted = running_sum(rows, ["file"], ["seq"], F.size("lines"), F.col("block"), "before")
+    return counted.select("file", "before", F.posexplode("lines").alias("at", "line")).select("file", (F.col("before") + F.col("at")).alias("line_no"), "line")
 
 
 def version_pairs(lines: DataFrame) -> DataFrame:

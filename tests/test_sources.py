@@ -1,5 +1,6 @@
 import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -38,6 +39,28 @@ def test_version_files_from_disk(spark, tmp_path):
     assert [r["path"] for r in V.collated_files(named).collect()] == ["x/My_Versions.yaml"]
 
 
+def test_lines_of_any_ending_in_many_splits(spark, tmp_path):
+    draw = random.Random(2)
+    want = {}
+    for i in range(6):
+        said = [draw.choice(["", "x", "long " * 9, "é"]) for _ in range(draw.randint(1, 60))] + ["end"]
+        ends = [draw.choice(["\n", "\r\n", "\r"]) if after else "\n" for after in [*said[1:], "x"]]  # CR and an empty line's LF would be one ending
+        (tmp_path / f"f{i}.yml").write_bytes("".join(s + e for s, e in zip(said, ends, strict=True)).encode())
+        want[f"f{i}.yml"] = list(enumerate(said))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for key, small in zip(before, ("50", "0"), strict=True):
+        spark.conf.set(key, small)
+    try:
+        lines = V.read_lines(spark, str(tmp_path)).collect()
+    finally:
+        for key, old in before.items():
+            spark.conf.set(key, old)
+    got = {}
+    for r in sorted(lines, key=lambda r: r["line_no"]):
+        got.setdefault(r["file"].rsplit("/", 1)[1], []).append((r["line_no"], r["line"]))
+    assert got == want
+
+
 def test_inspect_records(spark):
     """A record alone or in a list, with its repository's digest at any place; what is no record has no identity."""
     held = [f"sea/{n}@sha256:{i}" for i, n in enumerate(["mask", "regrid"])]
