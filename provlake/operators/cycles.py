@@ -2,10 +2,13 @@
 
 Trimming counts degrees down: a node that lost all edges of one direction is dead, and only the
 edges of newly dead nodes are looked up, by bucket, so every edge is read once from each end.
-Components come from colours: every node takes the smallest node that reaches it, and what a
+Rings, whose nodes all have one predecessor or all have one successor, are found first: every
+node's pointer to it is doubled, so a ring of any length takes as many rounds as its length has
+binary digits. Without rings components come from colours: every node takes the smallest node that reaches it, and what a
 colour's own node is reached from inside its colour is a component. Components are taken out,
 the rest is trimmed again, until nothing is left. One shortest cycle through the smallest node
-of each component is found by levels and read back along smallest parents.
+of each component is found by levels and read back along smallest parents; a component that is
+nothing but one cycle is put in order by doubling too.
 
 Loops end on empty rounds; the driver sees bucket numbers and emptiness.
 """
@@ -15,22 +18,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provlake.operators.buckets import Buckets, numbers
+from provlake.operators.buckets import Buckets, bucket_count, numbers
 from provlake.operators.reach import reach
 from provlake.session import save, workspace
 
 _KEY = ["crate_id", "node"]
 
 
-def _parts(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _parts(written: DataFrame) -> int:
+    """Buckets for a table whose rows can be counted without work."""
+    return bucket_count(written.count(), int(written.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def cyclic_core(edges: DataFrame) -> DataFrame:
     """(crate_id, src, dst) edges left after peeling nodes with nothing behind or ahead of them."""
-    spark, n = edges.sparkSession, _parts(edges)
+    spark = edges.sparkSession
     home = workspace(spark, "trim")
     plain = save(edges.select("crate_id", "src", "dst").distinct(), f"{home}/edges")
+    n = _parts(plain)
     table = lambda name, keys: Buckets(spark, f"{home}/{name}", keys, n)
     ahead, behind, lost, dead = table("ahead", _KEY), table("behind", _KEY), table("lost", _KEY), table("dead", _KEY)
     ahead.add(plain.select("crate_id", F.col("src").alias("node"), F.col("dst").alias("other")))
@@ -72,20 +77,53 @@ def _colours(edges: DataFrame) -> DataFrame:
     return labels.all().groupBy(*_KEY).agg(F.min("colour").alias("colour"))
 
 
+def _rings(edges: DataFrame) -> DataFrame:
+    """(crate_id, node, component) of the cycles whose nodes have one predecessor each.
+
+    Nobody outside reaches such a cycle, so it is a whole component. After as many steps back as
+    there are nodes with one predecessor, only nodes of rings are arrived at.
+    """
+    home = workspace(edges.sparkSession, "rings")
+    one = edges.groupBy("crate_id", F.col("dst").alias("node")).agg(F.count("*").alias("n"), F.min("src").alias("at")).where("n = 1")
+    state = save(one.select(*_KEY, "at", F.least("node", "at").alias("low")), f"{home}/turn-0")
+    left, steps, turn = state.count(), 1, 0
+    while left:
+        # who is not led to a ring in this turn had more than ``steps`` nodes before it in the last one
+        last = left <= steps
+        turn, steps = turn + 1, 2 * steps
+        ahead = state.select("crate_id", F.col("node").alias("at"), F.col("at").alias("far"), F.col("low").alias("far_low"))
+        state = save(state.join(ahead, ["crate_id", "at"]).select(*_KEY, F.col("far").alias("at"), F.least("low", "far_low").alias("low")), f"{home}/turn-{turn}")
+        if last:
+            break
+        left = state.count()
+    on = state.select("crate_id", F.col("at").alias("node")).distinct()
+    return state.join(on, _KEY, "left_semi").select(*_KEY, F.col("low").alias("component"))
+
+
+def _turned(edges: DataFrame) -> DataFrame:
+    return edges.select("crate_id", F.col("dst").alias("src"), F.col("src").alias("dst"))
+
+
+def _coloured(rest: DataFrame, home: str, turn: int) -> DataFrame:
+    """(crate_id, node, component) of one component of each colour."""
+    colours = save(_colours(rest), f"{home}/colours-{turn}")
+    of = lambda end: colours.select("crate_id", F.col("node").alias(end), F.col("colour").alias(f"{end}_colour"))
+    inside = save(rest.join(of("src"), ["crate_id", "src"]).join(of("dst"), ["crate_id", "dst"]).where("src_colour = dst_colour").select(
+        "crate_id", "src", "dst"), f"{home}/inside-{turn}")
+    roots = colours.where("node = colour").select("crate_id", F.col("node"))
+    reached = reach(roots, _turned(inside), ["crate_id"], buckets=_parts(inside)).select(*_KEY)
+    return reached.join(colours, _KEY).withColumnRenamed("colour", "component")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(crate_id, node, component) of the nodes on cycles; a component is named by its smallest node."""
     spark = edges.sparkSession
     home = workspace(spark, "components")
     rest, turn, found = cyclic_core(edges), 0, []
     while not rest.isEmpty():
-        colours = save(_colours(rest), f"{home}/colours-{turn}")
-        of = lambda end: colours.select("crate_id", F.col("node").alias(end), F.col("colour").alias(f"{end}_colour"))
-        inside = save(rest.join(of("src"), ["crate_id", "src"]).join(of("dst"), ["crate_id", "dst"]).where("src_colour = dst_colour").select(
-            "crate_id", "src", "dst"), f"{home}/inside-{turn}")
-        back = inside.select("crate_id", F.col("dst").alias("src"), F.col("src").alias("dst"))
-        roots = colours.where("node = colour").select("crate_id", F.col("node"))
-        reached = reach(roots, back, ["crate_id"]).select(*_KEY)
-        one = save(reached.join(colours, _KEY).withColumnRenamed("colour", "component"), f"{home}/found/turn={turn}")
+        one = save(_rings(rest).unionByName(_rings(_turned(rest))).distinct(), f"{home}/found/turn={turn}")
+        if one.isEmpty():
+            one = save(_coloured(rest, home, turn), f"{home}/found/turn={turn}")
         found.append(one)
         for end in ("src", "dst"):
             rest = rest.join(one.select("crate_id", F.col("node").alias(end)), ["crate_id", end], "left_anti")
@@ -110,7 +148,11 @@ def cycles(edges: DataFrame, members: DataFrame | None = None) -> DataFrame:
     of = lambda end: members.select("crate_id", "component", F.col("node").alias(end))
     steps = save(edges.select("crate_id", "src", "dst").distinct().join(of("src"), ["crate_id", "src"]).join(of("dst"), ["crate_id", "component", "dst"]), f"{home}/steps")
     key = ["crate_id", "component"]
-    level = save(members.select(*key).distinct().select(*key, F.col("component").alias("node"), F.lit(None).cast("string").alias("parent")), f"{home}/levels/pos=0")
+    # a component with as many edges as nodes is nothing but one cycle
+    size = members.groupBy(*key).agg(F.count("*").alias("n"))
+    single = save(steps.groupBy(*key).agg(F.count("*").alias("n_edges")).join(size, key).select(*key, (F.col("n") == F.col("n_edges")).alias("ring")), f"{home}/kinds")
+    alone = _in_order(steps.join(single.where("ring"), key, "left_semi"), home)
+    level = save(single.where("not ring").select(*key, F.col("component").alias("node"), F.lit(None).cast("string").alias("parent")), f"{home}/levels/pos=0")
     closed, depth = [], 0
     while not level.isEmpty():
         near = save(level.select(*key, F.col("node").alias("src")).join(steps, [*key, "src"]).groupBy(*key, "dst").agg(F.min("src").alias("parent")), f"{home}/near-{depth}")
@@ -126,5 +168,19 @@ def cycles(edges: DataFrame, members: DataFrame | None = None) -> DataFrame:
         here = closed[pos] if at is None else closed[pos].unionByName(at.where("pos > 0").select(*key, F.col("parent").alias("node"), F.lit(pos).alias("pos")))
         at = save(here.join(levels.where(F.col("pos") == pos).select(*key, "node", "parent"), [*key, "node"]), f"{home}/path/turn={pos}")
     if at is None:
-        return members.select(*key, F.lit(0).alias("pos"), "node").limit(0)
-    return spark.read.schema(at.schema).parquet(f"{home}/path").select(*key, "pos", "node")
+        return alone
+    return alone.unionByName(spark.read.schema(at.schema).parquet(f"{home}/path").select(*key, "pos", "node"))
+
+
+def _in_order(steps: DataFrame, home: str) -> DataFrame:
+    """(crate_id, component, pos, node) of components that are one cycle: how far behind the smallest node each is."""
+    key = ["crate_id", "component"]
+    at_start = F.col("dst") == F.col("component")
+    state = save(steps.select(*key, F.col("dst").alias("node"), F.when(at_start, F.col("dst")).otherwise(F.col("src")).alias("at"),
+                              F.when(at_start, 0).otherwise(1).alias("pos")), f"{home}/order-0")
+    turn = 0
+    while not state.where("at <> component").isEmpty():
+        turn += 1
+        back = state.select(*key, F.col("node").alias("at"), F.col("at").alias("far"), F.col("pos").alias("more"))
+        state = save(state.join(back, [*key, "at"]).select(*key, "node", F.col("far").alias("at"), (F.col("pos") + F.col("more")).alias("pos")), f"{home}/order-{turn}")
+    return state.select(*key, "pos", "node")

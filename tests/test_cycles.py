@@ -72,6 +72,27 @@ def test_rings_tails_and_loops(spark):
     compare(spark, edges)
 
 
+def test_long_rings_take_few_rounds(spark):
+    """A ring of 600 nodes with tails, one that it feeds and one that feeds it."""
+    ring = lambda name, n: {("r", f"{name}{i:03d}", f"{name}{(i + 1) % n:03d}") for i in range(n)}
+    edges = ring("up", 50) | ring("mid", 600) | ring("down", 70) | {("r", "up007", "mid100"), ("r", "mid200", "t1"), ("r", "t1", "t2"), ("r", "t2", "down009")}
+    written = []
+    save = C.save
+    C.save = lambda df, path: (written.append(path), save(df, path))[1]
+    try:
+        compare(spark, edges)
+    finally:
+        C.save = save
+    assert len(written) < 200
+
+
+def test_nodes_with_one_predecessor_off_a_ring(spark):
+    """Tails behind a ring and plain lines have one predecessor too, but are on no cycle."""
+    line = {("r", f"a{i:02d}", f"a{i + 1:02d}") for i in range(40)} | {("r", "b1", "b2"), ("r", "b2", "b1"), ("r", "b2", "a00"), ("s", "x", "y")}
+    table = spark.createDataFrame(sorted(line), "crate_id string, src string, dst string")
+    assert {tuple(r) for r in C._rings(table).collect()} == {("r", "b1", "b1"), ("r", "b2", "b1")}
+
+
 def test_graphs_without_cycles(spark):
     none = spark.createDataFrame([], "crate_id string, src string, dst string")
     assert C.components(none).collect() == [] and C.cycles(none).collect() == []
