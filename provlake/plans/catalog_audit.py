@@ -11,7 +11,7 @@ from provlake.model import Graph, json_map, quote, quote_opt
 from provlake.operators import audit as Q
 from provlake.operators import entail, runs as R
 from provlake.plans import adapter as A, provenance as P
-from provlake.plans.shared import graph, once, resolved, table
+from provlake.plans.shared import graph, graph_plan, once, resolved, table
 from provlake.plans.sqlbase import ark, bare, data_ark, query
 from provlake.sources import versions as V
 
@@ -121,7 +121,7 @@ def content_mismatches(spark, folder):
 
 
 def _computations(spark, folder):
-    g = graph(spark, folder)
+    g = graph_plan(spark, folder, ["run", "task"])
     part = g.edges.where("predicate = 'isPartOf'").select("crate_id", F.col("src").alias("entity_id"), F.lit(True).alias("is_part"))
     c = g.entities.where(K.evi_type("types") == "Computation").join(part, ["crate_id", "entity_id"], "left")
     return c.select("crate_id", F.col("entity_id").alias("comp"), prop("props", "identifier").alias("identifier"),

@@ -30,3 +30,29 @@ def test_parameters_keywords_digests_and_overlay(spark):
     assert tasks and all(json.loads(p["containerDigest"]) == json.loads(p["containerImage"]) + "@sha256:1" for p in tasks if "containerImage" in p)
     parts = g.edges.where("predicate = 'hasPart'").join(g.entities.select("crate_id", F.col("entity_id").alias("dst"), "pos"), ["crate_id", "dst"])
     assert parts.where("ord <> pos").count() == 0 and parts.count() > 0
+
+
+def test_checks_of_computations_make_only_their_part_of_the_graph(spark, tmp_path):
+    """The same computations as from the written graph, without the line items and without writing a table."""
+    from provlake.plans import catalog_audit, shared
+    folder = str(tmp_path / "tables")
+    os.symlink("/root/testdata/sf0.001", folder)
+    lean = catalog_audit._computations(spark, folder)
+    assert "l_partkey" not in lean._jdf.queryExecution().optimizedPlan().toString()
+    rows = sorted(lean.collect(), key=str)
+    made = {name for _, at, name in shared._MADE if at == folder}
+    assert not made & {"graph", "resolved"}
+    shared.graph(spark, folder)
+    assert rows and rows == sorted(catalog_audit._computations(spark, folder).collect(), key=str)
+
+
+def test_narrow_ids_are_those_of_the_graph(spark, tmp_path):
+    from provlake.plans import catalog_graph, shared
+    folder = str(tmp_path / "tables")
+    os.symlink("/root/testdata/sf0.001", folder)
+    ids = shared.entity_ids(spark, folder)
+    assert ids.columns == ["crate_id", "entity_id", "pos", "types"]
+    roots = sorted(catalog_graph.root_entities(spark, folder).collect())
+    whole = shared.graph(spark, folder).entities.select(*ids.columns)
+    assert ids.exceptAll(whole).isEmpty() and whole.exceptAll(ids).isEmpty()
+    assert len(roots) == 5 and roots == sorted(catalog_graph.root_entities(spark, folder).collect())
