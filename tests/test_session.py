@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from provlake import session
@@ -47,3 +49,15 @@ def test_short_methods_restores_the_setting(spark):
     with session.short_methods(spark):
         assert spark.conf.get(key) == "8000"
     assert spark.conf.get(key) == before
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: disk.getAllFiles().mkString().count("shuffle_")
+    before = held()
+    made = session.cut(spark.range(1000).repartition(4, "id"), "dealt")
+    deadline = time.time() + 20
+    while held() > before and time.time() < deadline:
+        time.sleep(0.2)
+    assert held() <= before and made.count() == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
