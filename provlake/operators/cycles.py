@@ -56,6 +56,8 @@ def cyclic_core(edges: DataFrame) -> DataFrame:
         total = lost.at(touched).join(now.select(*_KEY), _KEY, "left_semi").groupBy(*_KEY).agg(F.sum("n_in").alias("less_in"), F.sum("n_out").alias("less_out"))
         freed = degrees.at(touched).join(total, _KEY).where("n_in = less_in or n_out = less_out")
         newly = dead.add(freed.select(*_KEY).join(dead.at(touched).select(*_KEY), _KEY, "left_anti"), turn, dealt=True)
+    for held in (ahead, behind, lost, dead, degrees):
+        held.close()
     all_dead = dead.all().select(*_KEY)
     for end in ("src", "dst"):
         plain = plain.join(all_dead.withColumnRenamed("node", end), ["crate_id", end], "left_anti")
@@ -74,6 +76,7 @@ def _colours(edges: DataFrame) -> DataFrame:
         offered = changed.join(steps, _KEY).groupBy("crate_id", F.col("dst").alias("node")).agg(F.min("colour").alias("offer"))
         held = labels.all().groupBy(*_KEY).agg(F.min("colour").alias("colour"))
         changed = labels.add(offered.join(held, _KEY).where("offer < colour").select(*_KEY, F.col("offer").alias("colour")), turn, dealt=True)
+    labels.close()
     return labels.all().groupBy(*_KEY).agg(F.min("colour").alias("colour"))
 
 
