@@ -56,3 +56,21 @@ def test_narrow_ids_are_those_of_the_graph(spark, tmp_path):
     whole = shared.graph(spark, folder).entities.select(*ids.columns)
     assert ids.exceptAll(whole).isEmpty() and whole.exceptAll(ids).isEmpty()
     assert len(roots) == 5 and roots == sorted(catalog_graph.root_entities(spark, folder).collect())
+
+
+def test_many_parameters_are_several_lists(spark, monkeypatch):
+    """No row holds all parameters of a run, and none is lost, in the graph or in its lines."""
+    from provlake.operators import runs as R
+    from provlake.sources.crates import entity_lines
+    monkeypatch.setattr(R, "PARAM_CHUNK", 40)
+    log = A.run_log(A.Tables(spark, FOLDER))
+    g = P.build_provenance(log)
+    stated = sorted((r["session_id"], r["parameter"]) for r in R.folded_params(log.params).collect())
+    own = g.entities.where("map_contains_key(props, 'parameter')").select("crate_id", F.col("props")["parameter"].alias("value"))
+    lists = own.unionByName(g.more.select("crate_id", "value")).collect()
+    assert own.count() == 5 and len(lists) > 10 and max(len(json.loads(r["value"])) for r in lists) < 80
+    assert sorted((r["crate_id"], p) for r in lists for p in json.loads(r["value"])) == stated
+    lines = [(r["crate_id"], json.loads(r["json"])) for r in entity_lines(g).where("json like '%\"parameter\":%'").collect()]
+    assert sorted((crate, p) for crate, line in lines for p in line["parameter"]) == stated
+    runs = {r["crate_id"]: r["entity_id"] for r in g.entities.where("map_contains_key(props, 'parameter')").collect()}
+    assert all(line["@id"] == runs[crate] for crate, line in lines)
